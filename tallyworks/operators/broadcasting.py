@@ -1,0 +1,15 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Hint a broadcast when a bounded count proves `dim` small, else leave the join to AQE.
+
+    Beyond the bound Spark plans a shuffled join, whose hot keys AQE splits. The count stops at the
+    bound, so it stays cheap on a large input. Meant for narrow (id, name) frames.
+    """
+    seen = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if seen <= max_rows else dim
