@@ -21,6 +21,7 @@ from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import shared_dir
 from tallyworks.sinks.reports import report_counts
 from tallyworks.sinks.topics import messages
+from tallyworks.sources.files import spread_small_scan
 from tallyworks.sources.intake import intake_counts
 from tallyworks.streaming import counters, minutes
 from tallyworks.streaming.pages import run_chain
@@ -362,8 +363,12 @@ def upsert_last_wins(spark, d):
     return upsert(stored, changes, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+def _web_events(spark, d):
+    return spread_small_scan(v.table(spark, d, "events"))
+
+
 def json_intake_counts(spark, d):
-    return intake_counts(v.intake_messages(v.table(spark, d, "events")), PAGE_CREATE)
+    return intake_counts(v.intake_messages(_web_events(spark, d)), PAGE_CREATE)
 
 
 def publish_json(spark, d):
@@ -391,7 +396,7 @@ def months_in_range(spark, d):
 # Page events and short messages
 
 def wiki_filtered(spark, d):
-    return pages.filter_page_creates(v.page_messages(v.table(spark, d, "events")), v.WEB_DOMAINS)
+    return pages.filter_page_creates(v.page_messages(_web_events(spark, d)), v.WEB_DOMAINS)
 
 
 def _as_wall_clock(df):

@@ -9,7 +9,9 @@ broadcasts a table whose file size is under its limit and shuffles it otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tallyworks.sources.files import spread_small_scan
 
 EVENT_COLUMNS = (
     "event_id", "advertiser_name", "campaign_name", "target_country", "user_id", "location", "device",
@@ -20,11 +22,19 @@ FACT_COLUMNS = (
     "event_id", "campaign_id", "user_id", "location_id", "device_id", "timestamp", "bid_amount", "ad_cost",
     "was_clicked", "click_timestamp", "ad_revenue",
 )
+_WIDE = 7  # from this many columns on, row-wise work outweighs redistributing a small scan
 WEB_DOMAINS = ("click", "view", "purchase")  # the event types taken as allowed sites
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once per process and not for every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def name_id(name: Column) -> Column:
@@ -38,7 +48,7 @@ def _campaign_name() -> Column:
 
 def _line_key() -> Column:
     return F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd")
+        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
     )
 
 
@@ -61,6 +71,8 @@ def _line_columns() -> dict[str, Column]:
 def _lines(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     """Line items with the source columns of `wanted` joined to them."""
     lines = table(spark, sf_dir, "lineitem")
+    if len(wanted) >= _WIDE:
+        lines = spread_small_scan(lines)
     if wanted & {"campaign_name", "advertiser_name", "campaign_id", "ad_slot_size"}:
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"),
@@ -229,6 +241,8 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     computed = _review_columns()
     wanted = columns or tuple(computed)
     lines = table(spark, sf_dir, "lineitem")
+    if len(wanted) >= _WIDE:
+        lines = spread_small_scan(lines)
     if set(wanted) & {"product_title", "product_category", "star_rating", "review_headline", "review_body"}:
         part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
         lines = lines.join(part, "l_partkey")
@@ -248,7 +262,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     6, 49 the rating "Y", 48 no customer, 47 no date, and ratings of quantity 46 are written as decimals."""
     qty = F.col("l_quantity").cast("int")
     lines = (
-        table(spark, sf_dir, "lineitem")
+        spread_small_scan(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
         .join(
             table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 _BLANKS = " \t\n\r\f\v"
 _HEX32 = "^[0-9a-fA-F]{32}$"
+_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -23,7 +24,7 @@ def flag(c: Column | str) -> Column:
 
 
 def decimal_or_null(c: Column | str, precision: int = 12, scale: int = 2) -> Column:
-    return clean_text(c).try_cast(f"decimal({precision},{scale})")
+    return _col(c).try_cast(f"decimal({precision},{scale})")  # casts ignore surrounding blanks
 
 
 def money(c: Column | str, precision: int = 12, scale: int = 2) -> Column:
@@ -34,16 +35,18 @@ def money(c: Column | str, precision: int = 12, scale: int = 2) -> Column:
 
 def whole_number(c: Column | str, kind: str = "int") -> Column:
     """An integer from text such as "4" or "4.0"; fractions are cut towards zero, the rest is null."""
-    return clean_text(c).try_cast("decimal(24,4)").try_cast(kind)
+    plain = _col(c).try_cast(kind)
+    return F.coalesce(plain, _col(c).try_cast("decimal(24,4)").try_cast(kind))
 
 
 def iso_date(c: Column | str) -> Column:
-    return F.try_to_date(clean_text(c), "yyyy-MM-dd")
+    """A date written yyyy-MM-dd and nothing else. The cast alone would also take shorter forms."""
+    return F.when(_col(c).rlike(_ISO_DATE), _col(c).try_cast("date"))
 
 
 def wall_clock(c: Column | str) -> Column:
     """A timestamp as written, any zone offset ignored; unreadable text gives null."""
-    return clean_text(c).try_cast("timestamp_ntz")
+    return _col(c).try_cast("timestamp_ntz")
 
 
 def instant(c: Column | str) -> Column:
@@ -53,8 +56,8 @@ def instant(c: Column | str) -> Column:
 
 def uuid_digits(c: Column | str) -> Column:
     """The 32 hex digits of a UUID written with or without dashes, braces or a `urn:uuid:` prefix."""
-    unprefixed = F.regexp_replace(_col(c), "urn:|uuid:", "")
-    bare = F.regexp_replace(unprefixed, "^[{}]+|[{}]+$|-", "")
+    unprefixed = F.replace(F.replace(_col(c), F.lit("urn:")), F.lit("uuid:"))
+    bare = F.replace(F.trim(unprefixed, F.lit("{}")), F.lit("-"))
     return F.when(bare.rlike(_HEX32), F.lower(bare))
 
 
@@ -65,7 +68,8 @@ def uuid_text(c: Column | str, *row: Column | str) -> Column:
     """
     derived = F.md5(F.to_json(F.struct(*[_col(x) for x in row])))
     digits = F.coalesce(uuid_digits(c), derived)
-    return F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    groups = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(digits, start, length) for start, length in groups])
 
 
 def slot_size(c: Column | str) -> Column:

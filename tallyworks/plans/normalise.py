@@ -80,3 +80,41 @@ def user_interests(users: DataFrame, sep: str = ",", interests: DataFrame | None
     return attach_ids(pairs, "interest_name", interests, "interest_name", "interest_id").select(
         "user_id", "interest_id"
     )
+
+
+def normalise_model(events: DataFrame, campaigns: DataFrame, users: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
+    """All tables of the model from the three cleaned files.
+
+    Dictionaries take every spelling that occurs in any of the files, so no name lacks an id.
+    """
+    place = events.select("location").unionByName(users.select("location"))
+    locations = lookup_dimension(place, "location", "country_id", "country_name")
+    names = events.select("advertiser_name").unionByName(campaigns.select("advertiser_name"))
+    advertisers = lookup_dimension(names, "advertiser_name", "advertiser_id", "name")
+    devices = lookup_dimension(events, "device", "device_id", "device_name")
+    pairs = interest_names(users, sep)
+    interests = lookup_dimension(pairs, "interest_name", "interest_id", "interest_name")
+    sizes = campaigns.select("slot.width", "slot.height").dropna().distinct()
+    slots = number_rows(sizes, ["width", "height"], "slot_id").select("slot_id", "width", "height")
+
+    owned = attach_ids(campaigns, "advertiser_name", advertisers, "name", "advertiser_id")
+    sized = (
+        owned.select("*", "slot.width", "slot.height").drop("slot")
+        .join(slots, ["width", "height"], "left").drop("width", "height")
+    )
+    known = campaigns.select("campaign_id", "campaign_name")
+    where = locations.withColumnRenamed("country_name", "location")
+    return {
+        "locations": locations,
+        "advertisers": advertisers,
+        "interests": interests,
+        "devices": devices,
+        "ad_slot_sizes": slots,
+        "campaigns": sized.select("campaign_id", "advertiser_id", "slot_id", "campaign_name", "start_date",
+                                  "end_date", "targeting_criteria", "budget"),
+        "users": attach_ids(users, "location", where, "location", "country_id", "left").select(
+            "user_id", "age", "gender", "country_id", "signup_date"),
+        "user_interests": attach_ids(pairs, "interest_name", interests, "interest_name", "interest_id").select(
+            "user_id", "interest_id"),
+        "ad_events": first_per_event(normalise_events(events, known, locations, devices)),
+    }

@@ -51,3 +51,13 @@ def read_keyed(spark: SparkSession, path: str, **keys) -> DataFrame:
     for name, value in keys.items():
         df = df.filter(F.col(name) == F.lit(value))
     return df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that yields fewer tasks than there are cores, and leave any other alone.
+
+    One unsplittable file would otherwise be parsed by one core. Only such small inputs are shuffled:
+    at most one split's worth of rows per core. Use it before costly row-wise work, on a bare scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
