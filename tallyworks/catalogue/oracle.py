@@ -87,7 +87,7 @@ rv AS (
          CAST(l_linestatus = 'O' AS INTEGER) AS verified_purchase,
          p_brand || ' ' || p_name AS review_headline, p_name || ' ' || p_type || ' ' || l_returnflag AS review_body,
          CAST(l_shipdate AS DATE) AS review_date,
-         year(l_shipdate) AS year, month(l_shipdate) AS month, CAST(l_quantity AS INTEGER) AS qty
+         CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, CAST(l_quantity AS INTEGER) AS qty
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
 )"""
 
@@ -422,7 +422,7 @@ FROM (SELECT label, shipped_min, shipped_max, open_min, open_max, shipped_units,
                   FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
             GROUP BY o_orderpriority))""",
     "months_in_range": """
-SELECT DISTINCT year(m) AS year, month(m) AS month
+SELECT DISTINCT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month
 FROM (SELECT unnest(generate_series(date_trunc('month', MIN(l_shipdate)), MAX(l_shipdate), INTERVAL 1 MONTH)) AS m
       FROM lineitem)""",
     "wiki_filtered": """

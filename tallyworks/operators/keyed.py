@@ -19,6 +19,12 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rn", ranked).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key where rows of a key are meant to be copies; should they differ, the greatest stays."""
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
+    return newest_per_key(df, keys, rest or [F.col(c) for c in keys])
+
+
 def insert_ignore(
     target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:

@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 _DIRECT = 10_000
 _ACCURACY = 10_000
+_CUTTABLE = ("long", "integer", "short", "double", "float", "decimal", "date", "timestamp")
 
 
-def bounded_sample(df: DataFrame, n: int = 100_000, order_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Exactly the first `n` rows by `order_cols` (all rows when there are fewer).
+def bounded_sample(df: DataFrame, n: int = 100_000, order_cols: Sequence[str] = ("event_id",)) -> DataFrame:
+    """Exactly the first `n` rows by `order_cols`, or all rows when there are fewer.
 
-    For a large `n` a plain sort-and-limit would bring n rows from every task to one. A cut on the
-    first order column, taken from an approximate quantile and checked by an exact count, removes nearly all
-    later rows before the sort. If the check fails the sample is taken from all rows.
-    The first order column has to be numeric, a date or a timestamp for the cut to be used.
+    A sort with a limit brings up to n rows of every task to the last one, which is fine for a small n.
+    For a large one, rows after an approximate quantile of the first order column are cut away before,
+    and exact counts confirm the cut. Where a single value of that column straddles the end of the sample,
+    the rows before it are taken as they are and the same is done among its rows by the next column.
     """
-    lead = order_cols[0]
-    kind = df.schema[lead].dataType.typeName()
-    cuttable = kind in {"long", "integer", "short", "double", "float", "date", "timestamp", "timestamp_ntz"} \
-        or kind.startswith("decimal")
-    if n <= _DIRECT or not cuttable:
+    lead, *rest = order_cols
+    nulls_first = df.filter(F.col(lead).isNull())
+    if n <= _DIRECT or not df.schema[lead].dataType.typeName().startswith(_CUTTABLE):
         return df.orderBy(*order_cols).limit(n)
     total = df.count()
     if total <= n:
         return df.orderBy(*order_cols)
-    share = min(1.0, n / total + 2.0 / _ACCURACY)
-    cut = df.agg(F.percentile_approx(lead, F.lit(share), _ACCURACY).alias("cut")).first()["cut"]
-    early = df.filter((F.col(lead) <= F.lit(cut)) | F.col(lead).isNull())
-    return (early if early.count() >= n else df).orderBy(*order_cols).limit(n)
+    missing = nulls_first.count()
+    if missing >= n:
+        return _within_ties(nulls_first, n, rest)
+    known = df.filter(F.col(lead).isNotNull())
+    margin = 2.0 / _ACCURACY
+    while True:
+        share = min(1.0, (n - missing) / (total - missing) + margin)
+        cut = known.agg(F.percentile_approx(lead, F.lit(share), _ACCURACY).alias("cut")).first()["cut"]
+        at = F.lit(cut).cast(df.schema[lead].dataType)
+        sizes = known.agg(
+            F.count_if(F.col(lead) < at).alias("below"), F.count_if(F.col(lead) == at).alias("ties")).first()
+        below, ties = missing + sizes["below"], sizes["ties"]
+        if below + ties >= n:
+            break
+        margin *= 2
+    early = df.filter((F.col(lead) < at) | F.col(lead).isNull())
+    if below >= n:
+        return early.orderBy(*order_cols).limit(n)
+    tied = _within_ties(known.filter(F.col(lead) == at), n - below, rest)
+    return early.unionByName(tied).orderBy(*order_cols)
+
+
+def _within_ties(df: DataFrame, n: int, rest: Sequence[str]) -> DataFrame:
+    return bounded_sample(df, n, rest) if rest else df.limit(n)

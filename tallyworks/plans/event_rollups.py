@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyworks.functions import measures as m
 from tallyworks.functions.calendar import since_days
 from tallyworks.functions.parsing import uuid_text
-from tallyworks.operators.keyed import newest_per_key
+from tallyworks.operators.keyed import newest_per_key, one_per_key
 from tallyworks.operators.ranking import rank_within, top_n
 
 EVERYONE = "global"  # the single bucket of the user ranking
@@ -55,12 +55,12 @@ def advertiser_spend_by_day(events: DataFrame) -> DataFrame:
     )
 
 
-def user_engagement_history(events: DataFrame, one_row_per_key: bool = False) -> DataFrame:
-    """Every dated event of a known user, ready to be stored newest first.
+def user_engagement_history(events: DataFrame) -> DataFrame:
+    """Every dated event of a known user, one row per user, timestamp and event id.
 
-    A missing or malformed event id is replaced by one derived from the row. With `one_row_per_key`
-    rows that agree in user, timestamp and id collapse, as they would in a keyed store; stored
-    loads use it, projections need no shuffle.
+    A missing or malformed event id is replaced by one derived from the row. Copies of an event collapse,
+    as in a store keyed this way; they do so in the map tasks already, so a much-copied event
+    does not travel. The key also spreads the events of one busy user over all tasks.
     """
     known = events.filter(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull())
     history = known.select(
@@ -70,11 +70,7 @@ def user_engagement_history(events: DataFrame, one_row_per_key: bool = False) ->
         "campaign_name", "advertiser_name", "ad_slot_size", "device", "location",
         "was_clicked", "click_timestamp", "ad_cost", "ad_revenue",
     )
-    if not one_row_per_key:
-        return history
-    keys = ["user_id", "event_timestamp", "event_id"]
-    rest = [F.col(c).desc_nulls_last() for c in history.columns if c not in keys]
-    return newest_per_key(history, keys, rest)
+    return one_per_key(history, ["user_id", "event_timestamp", "event_id"])
 
 
 def user_activity(events: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def load_event_tables(spark: SparkSession, events_csv: str, out: str) -> dict:
                     sort_cols=["campaign_name", newest])
     write_clustered(er.advertiser_spend_by_day(events), f"{out}/advertiser_spend_by_day",
                     sort_cols=["advertiser_name", newest])
-    write_clustered(er.user_engagement_history(events, one_row_per_key=True), f"{out}/user_engagement_history",
+    write_clustered(er.user_engagement_history(events), f"{out}/user_engagement_history",
                     sort_cols=["user_id", F.desc("event_timestamp"), "event_id"])
     write_clustered(er.most_active_users(events), f"{out}/most_active_users",
                     part_cols=["activity_bucket"], sort_cols=["rank"])
@@ -47,9 +47,9 @@ def load_review_tables(spark: SparkSession, reviews_csv: str, out: str) -> dict:
     reviews = files.read_table(spark, f"{out}/reviews")
     bought = files.read_table(spark, f"{out}/verified_reviews")
 
-    write_clustered(reviews.select(*rr.PRODUCT_COLUMNS), f"{out}/reviews_by_product",
+    write_clustered(rr.product_keyed(reviews), f"{out}/reviews_by_product",
                     sort_cols=["product_id", "star_rating", F.desc("review_date"), "review_id"])
-    write_clustered(reviews.select(*rr.CUSTOMER_COLUMNS), f"{out}/reviews_by_customer",
+    write_clustered(rr.customer_keyed(reviews), f"{out}/reviews_by_customer",
                     sort_cols=["customer_id", F.desc("review_date"), "review_id"])
     most = F.desc("review_count")
     write_clustered(rr.product_monthly_counts(reviews), f"{out}/product_monthly_counts",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyworks import schemas
 from tallyworks.functions.parsing import instant
-from tallyworks.operators.keyed import newest_per_key
+from tallyworks.operators.keyed import one_per_key
 
 # The sites whose page creations are kept.
 ALLOWED_DOMAINS = ("en.wikipedia.org", "www.wikidata.org", "commons.wikimedia.org")
@@ -50,4 +50,4 @@ def page_creates(messages: DataFrame) -> DataFrame:
 
 def page_creates_table(rows: DataFrame) -> DataFrame:
     """One row per (domain, created_at, page_title); of several authors the highest id stays."""
-    return newest_per_key(rows, PAGE_KEY, [F.col("user_id").desc_nulls_last()])
+    return one_per_key(rows, PAGE_KEY)

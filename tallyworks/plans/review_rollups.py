@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyworks.functions import measures as m
 from tallyworks.functions.calendar import in_months, month_label
 from tallyworks.functions.serialise import title_prefix
+from tallyworks.operators.keyed import one_per_key
 from tallyworks.operators.ranking import top_n
 
 PRODUCT_COLUMNS = (
@@ -71,6 +72,16 @@ def monthly_product_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def product_keyed(reviews: DataFrame) -> DataFrame:
+    """The columns kept per product, one row per review of it; copies collapse before they are shuffled."""
+    return one_per_key(
+        reviews.select(*PRODUCT_COLUMNS), ["product_id", "star_rating", "review_date", "review_id"])
+
+
+def customer_keyed(reviews: DataFrame) -> DataFrame:
+    return one_per_key(reviews.select(*CUSTOMER_COLUMNS), ["customer_id", "review_date", "review_id"])
+
+
 def reviews_by_product(
     reviews: DataFrame, product_id: str | None = None, star_rating: int | None = None
 ) -> DataFrame:
@@ -81,7 +92,7 @@ def reviews_by_product(
         reviews = reviews.filter(F.col("star_rating") == star_rating)
     if product_id is not None:
         reviews = reviews.filter(F.col("product_id") == product_id)
-    return reviews.select(*PRODUCT_COLUMNS).orderBy(
+    return product_keyed(reviews).orderBy(
         "product_id", "star_rating", F.desc("review_date"), "review_id"
     )
 
@@ -90,7 +101,7 @@ def reviews_by_customer(reviews: DataFrame, customer_id: str | None = None) -> D
     """Reviews keyed by customer, newest first, then id."""
     if customer_id is not None:
         reviews = reviews.filter(F.col("customer_id") == customer_id)
-    return reviews.select(*CUSTOMER_COLUMNS).orderBy("customer_id", F.desc("review_date"), "review_id")
+    return customer_keyed(reviews).orderBy("customer_id", F.desc("review_date"), "review_id")
 
 
 def product_monthly_counts(reviews: DataFrame) -> DataFrame:

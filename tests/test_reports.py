@@ -185,7 +185,7 @@ def test_region_ranking(flat):
 def test_history_drops_rows_without_key_and_collapses_duplicates(flat):
     assert er.user_engagement_history(flat).count() == 3
     doubled = flat.unionByName(flat)
-    assert er.user_engagement_history(doubled, one_row_per_key=True).count() == 3
+    assert er.user_engagement_history(doubled).count() == 3
 
 
 def test_trailing_window_starts_at_midnight_and_has_no_end(spark):

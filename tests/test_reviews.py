@@ -85,6 +85,13 @@ def test_reviews_by_customer_newest_first(reviews):
     assert [r["review_id"] for r in rr.reviews_by_customer(reviews, "u1").collect()] == ["r3", "r1", "r4"]
 
 
+def test_copies_of_a_review_are_one_row_of_the_keyed_tables_but_are_counted(reviews):
+    doubled = reviews.unionByName(reviews)
+    assert rows(rr.reviews_by_product(doubled)) == rows(rr.reviews_by_product(reviews))
+    assert rr.reviews_by_customer(doubled, "u1").count() == 3
+    assert dict(rows(rr.customer_stats(doubled)))["u1"] == 6
+
+
 def test_top_product_trend_and_volume(reviews):
     monthly, stats = rr.monthly_product_reviews(reviews), rr.product_stats(reviews)
     assert rows(rr.top_product_trend(stats, monthly)) == [("p1", "2015-01", 2), ("p1", "2015-02", 1)]

@@ -199,6 +199,6 @@ def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path):
 
 def test_last_ads_of_one_user(spark, events_csv):
     from tallyworks.plans.cleaning import clean_events
-    history = er.user_engagement_history(clean_events(files.read_ad_events(spark, events_csv)), True)
+    history = er.user_engagement_history(clean_events(files.read_ad_events(spark, events_csv)))
     newest = er.last_ads_per_user(history, user_id=1, n=1).collect()
     assert [(r["event_timestamp"].day, r["was_clicked"]) for r in newest] == [(2, False)]
