@@ -221,6 +221,15 @@ FROM ae""",
 SELECT campaign_name, event_date, COUNT(*) AS impressions, COUNT(*) FILTER (WHERE was_clicked) AS clicks
 FROM ae GROUP BY campaign_name, event_date""",
 }
+_AE_ROLLUPS["refreshed_rollup"] = """
+SELECT CAST(year(event_date) AS INTEGER) AS year,
+       CASE WHEN year(event_date) >= 1999 THEN COUNT(*) FILTER (WHERE was_clicked) ELSE COUNT(*) END AS events
+FROM ae GROUP BY year(event_date)"""
+_AE_ROLLUPS["plain_rows"] = """
+SELECT event_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') AS event_timestamp,
+       strftime(event_date, '%Y-%m-%d') AS event_date, strftime(click_timestamp, '%Y-%m-%dT%H:%M:%S') AS click_timestamp,
+       CAST(ad_cost AS DOUBLE) AS ad_cost, CAST(ad_revenue AS DOUBLE) AS ad_revenue
+FROM ae"""
 _AE_ROLLUPS["stream_campaign_day_counters"] = _AE_ROLLUPS["campaign_day_counters"]
 
 _LOOKUPS = {
@@ -353,6 +362,20 @@ SELECT product_id, arg_max(product_title, (year, month, -n, product_title)) AS p
 FROM (SELECT year, month, product_id, product_title, COUNT(review_id) AS n FROM rv WHERE {_IN_MONTHS}
       GROUP BY year, month, product_id, product_title)
 GROUP BY product_id ORDER BY review_count DESC, product_id LIMIT 10""",
+    "keyed_month_read": """
+SELECT year, month, product_id, product_title, COUNT(review_id) AS review_count FROM rv
+WHERE year = 1998 AND month = 3 GROUP BY year, month, product_id, product_title""",
+    "cleaning_counts": """
+SELECT COUNT(*) AS raw_rows, COUNT(*) FILTER (WHERE qty NOT IN (47, 48, 49, 50) AND helpful_votes <> 7) AS clean_rows
+FROM rv""",
+    "product_reviews_rated": """
+SELECT product_id, star_rating, review_date, review_id, customer_id, marketplace, product_title, product_category,
+       helpful_votes, total_votes, vine, verified_purchase, review_headline, review_body
+FROM rv WHERE product_id = '46' AND star_rating = 5""",
+    "customer_reviews": """
+SELECT customer_id, review_date, review_id, product_id, product_title, star_rating, verified_purchase, marketplace,
+       review_headline, review_body
+FROM rv WHERE customer_id = '46'""",
     "most_productive_customers": _productive("verified_purchase = 1", "verified_review_count"),
     "most_productive_haters": _productive("star_rating IN (1, 2)", "low_star_review_count"),
     "most_productive_backers": _productive("star_rating IN (4, 5)", "high_star_review_count"),
@@ -402,6 +425,12 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_o
 SELECT CASE WHEN value < 1 THEN 'blank' WHEN value < 2 THEN 'malformed' ELSE 'good' END AS state,
        CASE WHEN value >= 2 AND value <= 300 THEN event_type ELSE 'unknown' END AS domain, COUNT(*) AS messages
 FROM events GROUP BY 1, 2""",
+    "quarantined_messages": """
+SELECT '{"meta":{"domain":"' || substr(event_type, 1, 1) AS value, 'not JSON' AS reason
+FROM events WHERE value >= 1 AND value < 2""",
+    "slot_dimension": """
+SELECT row_number() OVER (ORDER BY width) AS slot_id, width, width * 2 AS height
+FROM (SELECT DISTINCT p_size AS width FROM part)""",
     "publish_json": """
 SELECT '{"customer_id":"' || user_id || '","review_date":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
        || '","review_body":"' || replace(replace(props, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"}' AS value

@@ -11,18 +11,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyworks.catalogue import views as v
 from tallyworks.functions.calendar import months_touched
 from tallyworks.functions.parsing import slot_size
+from tallyworks.functions.serialise import plain_values
 from tallyworks.operators.integrity import cascade, orphan_report
 from tallyworks.operators.keyed import insert_ignore, upsert
 from tallyworks.operators.sampling import bounded_sample
 from tallyworks.operators.surrogates import attach_ids, lookup_dimension
-from tallyworks.plans import cleaning, comparison, event_rollups as er, lookups, normalise, pages, reports
+from tallyworks.plans import cleaning, comparison, event_rollups as er, jobs, lookups, normalise, pages, reports
 from tallyworks.plans import review_rollups as rr
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import shared_dir
 from tallyworks.sinks.reports import report_counts
+from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
-from tallyworks.sources.files import spread_small_scan
-from tallyworks.sources.intake import intake_counts
+from tallyworks.sources.files import read_keyed, spread_small_scan
+from tallyworks.sources.intake import intake_counts, parse_events
 from tallyworks.streaming import counters, minutes
 from tallyworks.streaming.pages import run_chain
 from tallyworks.streaming.replay import replay
@@ -34,6 +36,7 @@ START, END = date(1997, 1, 1), date(1998, 12, 31)
 AS_OF = date(2001, 10, 31)
 MONTH_START, MONTH_END = date(1998, 3, 15), date(1999, 2, 10)
 CAMPAIGN, PLACE = "Brand#7/PROMO", "NATION_3"
+PRODUCT, CUSTOMER = "46", "46"
 SAMPLE_ROWS = 25_000
 HEAVY = 25
 
@@ -453,6 +456,63 @@ def replay_restamped(spark, d):
     return sent.agg(F.count(F.lit(1)).alias("messages"), F.count(stamp).alias("stamped"))
 
 
+# Stored tables
+
+def keyed_month_read(spark, d):
+    """The rollup stored by month and read back for one month, most-reviewed products first."""
+    path = _scratch(spark, "months")
+    write_clustered(product_monthly_counts(spark, d), path, ["year", "month"],
+                    [F.desc("review_count"), "product_id", "product_title"])
+    return read_keyed(spark, path, year=MONTH_START.year, month=MONTH_START.month)
+
+
+def refreshed_rollup(spark, d):
+    """A yearly rollup stored with all events, then refreshed from 1999 on with the clicked ones alone:
+    earlier years stay as they were."""
+    path = _scratch(spark, "refresh")
+    yearly = v.ad_events(spark, d, "event_id", "event_timestamp", "was_clicked").withColumn(
+        "year", F.year("event_timestamp"))
+    rollup = [F.count("event_id").alias("events")]
+    refresh_partitions(yearly.groupBy("year").agg(*rollup), path, ["year"])
+    changed = yearly.filter(F.col("was_clicked") & (F.col("event_timestamp") >= F.lit("1999-01-01").cast("timestamp_ntz")))
+    refresh_partitions(changed.groupBy("year").agg(*rollup), path, ["year"])
+    return spark.read.parquet(path)
+
+
+def cleaning_counts(spark, d):
+    """Reviews before and after cleaning, counted while they are stored."""
+    seen = jobs.store_clean(v.raw_reviews(spark, d), cleaning.clean_reviews, _scratch(spark, "clean"))
+    return spark.range(1).select(
+        F.lit(seen["raw"]).cast("bigint").alias("raw_rows"), F.lit(seen["rows"]).cast("bigint").alias("clean_rows"))
+
+
+def quarantined_messages(spark, d):
+    """Messages that are no JSON, with the reason."""
+    return parse_events(v.intake_messages(_web_events(spark, d)), PAGE_CREATE)[1]
+
+
+def plain_rows(spark, d):
+    """Events as they leave for JSON consumers: ISO times and plain numbers."""
+    return plain_values(v.ad_events(
+        spark, d, "event_id", "event_timestamp", "event_date", "click_timestamp", "ad_cost", "ad_revenue"))
+
+
+def slot_dimension(spark, d):
+    """The distinct slot sizes of the parts with dense ids."""
+    sized = v.table(spark, d, "part").select(F.concat_ws("x", "p_size", F.col("p_size") * 2).alias("slot_text"))
+    return normalise.normalise_slots(sized, "slot_text")
+
+
+def product_reviews_rated(spark, d):
+    """The five-star reviews of one product."""
+    return rr.reviews_by_product(v.reviews(spark, d), PRODUCT, 5)
+
+
+def customer_reviews(spark, d):
+    """All reviews of one customer."""
+    return rr.reviews_by_customer(v.reviews(spark, d), CUSTOMER)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -471,6 +531,8 @@ QUERIES: dict[str, Query] = {
         parse_slot, sample_first_n, upsert_last_wins, json_intake_counts, publish_json, variant_speedup,
         months_in_range, wiki_filtered, wiki_page_creates, stream_page_creates, minute_buckets,
         campaign_day_counters, stream_campaign_day_counters, replay_restamped,
+        keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
+        product_reviews_rated, customer_reviews,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys

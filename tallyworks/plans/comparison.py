@@ -24,7 +24,7 @@ def variant_speedup(
     )
 
     def exact_mean(v: str):
-        return F.col(f"{v}_sum").cast(m.MONEY) / F.nullif(F.col(f"{v}_n").cast("decimal(12,0)"), F.lit(0))
+        return F.col(f"{v}_sum").cast(m.MONEY) / F.nullif(F.col(f"{v}_n").cast("decimal(15,0)"), F.lit(0))
 
     shown = [
         column

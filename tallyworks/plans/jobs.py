@@ -6,24 +6,30 @@ and nothing is collected, so a lost executor costs a recomputation of its tasks
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyworks.plans import cleaning, event_rollups as er, normalise, review_rollups as rr
 from tallyworks.sinks.tables import counted, replace_table, write_clustered
 from tallyworks.sources import files
 
 
-def _store_clean(clean: DataFrame, path: str, bad) -> dict:
-    tracked, seen = counted(clean, bad, path)
-    replace_table(tracked, path)
-    return seen.get
+def store_clean(
+    raw: DataFrame, clean: Callable[[DataFrame], DataFrame], path: str, bad: Column | None = None
+) -> dict:
+    """Store the cleaned rows of `raw` and count rows before and after on the way, without another job."""
+    before, seen_raw = counted(raw, name=f"raw of {path}")
+    after, seen_clean = counted(clean(before), bad, f"clean of {path}")
+    replace_table(after, path)
+    return {"raw": seen_raw.get["rows"], **seen_clean.get}
 
 
 def load_event_tables(spark: SparkSession, events_csv: str, out: str) -> dict:
-    """Events and their five query tables. Returns the number of rows stored and of undated rows."""
+    """Events and their five query tables. Returns the number of rows read, stored and undated ("failed")."""
     path = f"{out}/ad_events"
-    clean = cleaning.clean_events(files.read_ad_events(spark, events_csv))
-    counts = _store_clean(clean, path, F.col("event_timestamp").isNull())
+    raw = files.read_ad_events(spark, events_csv)
+    counts = store_clean(raw, cleaning.clean_events, path, F.col("event_timestamp").isNull())
     events = files.read_table(spark, path)
     newest = F.desc("event_date")
     write_clustered(er.campaign_performance_by_day(events), f"{out}/campaign_performance_by_day",
@@ -40,9 +46,9 @@ def load_event_tables(spark: SparkSession, events_csv: str, out: str) -> dict:
 
 
 def load_review_tables(spark: SparkSession, reviews_csv: str, out: str) -> dict:
-    """Reviews and their keyed, monthly and statistics tables. Returns the number of reviews stored."""
+    """Reviews and their keyed, monthly and statistics tables. Returns the number of rows read and stored."""
     raw = files.read_reviews(spark, reviews_csv)
-    counts = _store_clean(cleaning.clean_reviews(raw), f"{out}/reviews", None)
+    counts = store_clean(raw, cleaning.clean_reviews, f"{out}/reviews")
     replace_table(cleaning.clean_verified_reviews(raw), f"{out}/verified_reviews")
     reviews = files.read_table(spark, f"{out}/reviews")
     bought = files.read_table(spark, f"{out}/verified_reviews")

@@ -5,7 +5,7 @@ A topic is a folder of JSON-lines files, or a Kafka topic where that connector i
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,9 +18,12 @@ def read_topic(
 ) -> DataFrame:
     """Stream a topic folder.
 
-    `starting` is "earliest" or an instant; with an instant only files written after it are taken.
-    Pass the same instant again on restart: the checkpoint then decides what is still to be read.
+    `starting` is "earliest", "latest" (from now on) or an instant: only files written after it are taken.
+    A query that is to be restarted should be given an instant, and the same one again on restart; its
+    checkpoint then decides what is still to be read.
     """
+    if starting == "latest":
+        starting = datetime.now(timezone.utc)
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -48,7 +48,7 @@ def test_csv_is_matched_by_header(spark, events_csv):
 def test_event_load_end_to_end(spark, events_csv, tmp_path):
     out = str(tmp_path / "out")
     counts = jobs.load_event_tables(spark, events_csv, out)
-    assert counts == {"rows": 6, "failed": 1}
+    assert counts == {"raw": 6, "rows": 6, "failed": 1}
     days = files.read_table(spark, f"{out}/campaign_performance_by_day").collect()
     assert {(r["event_date"], r["total_impressions"], r["total_clicks"], r["total_ad_cost"]) for r in days} == {
         (date(2024, 10, 1), 4, 4, D("2.00")), (date(2024, 10, 2), 1, 0, D("1.00"))}
@@ -70,7 +70,7 @@ def test_review_load_and_partition_pruning(spark, tmp_path):
     rows = [{**base, "review_id": f"r{i}", "review_date": f"2015-0{1 + i % 3}-05"} for i in range(9)]
     path = write_csv(tmp_path / "reviews.csv", header, [[r[c] for c in header] for r in rows])
     out = str(tmp_path / "out")
-    assert jobs.load_review_tables(spark, path, out) == {"rows": 9, "failed": 0}
+    assert jobs.load_review_tables(spark, path, out) == {"raw": 9, "rows": 9, "failed": 0}
     month = files.read_keyed(spark, f"{out}/product_monthly_counts", year=2015, month=2)
     assert [r["review_count"] for r in month.collect()] == [3]
     plan = month._jdf.queryExecution().executedPlan().toString()

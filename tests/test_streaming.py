@@ -1,6 +1,7 @@
 """Streams: equal to the batch result however the input is split, and safe to restart."""
 
 import json
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -100,8 +101,9 @@ def test_topic_from_an_instant_on(spark, tmp_path):
     topic = tmp_path / "topic"
     put(topic, "old.json", ["old"])
     later = datetime(2099, 1, 1, tzinfo=timezone.utc)
-    for starting, expected in (("earliest", 1), (later, 0)):
-        out, ckpt = str(tmp_path / f"out{expected}"), str(tmp_path / f"ckpt{expected}")
+    os.utime(topic / "old.json", (1_600_000_000, 1_600_000_000))
+    for i, (starting, expected) in enumerate((("earliest", 1), (later, 0), ("latest", 0))):
+        out, ckpt = str(tmp_path / f"out{i}"), str(tmp_path / f"ckpt{i}")
         read_topic(spark, str(topic), starting).writeStream.format("parquet").option(
             "checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
         assert spark.read.schema("value string").parquet(out).count() == expected
