@@ -60,3 +60,14 @@ def month_label(year: Column | str, month: Column | str) -> Column:
 def now_or(fixed: Column | None) -> Column:
     """The processing time, or a fixed instant where a repeatable result is needed."""
     return F.current_timestamp() if fixed is None else fixed
+
+
+def utc_instant(wall_clock: Column | str) -> Column:
+    """The instant at which a clock in UTC shows `wall_clock`, whatever the session zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall_clock).cast("timestamp")
+
+
+def utc_date(instant: Column | str) -> Column:
+    """The date in UTC of an instant, whatever the session zone."""
+    local = F.col(instant) if isinstance(instant, str) else instant
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), local.cast("timestamp_ntz")))

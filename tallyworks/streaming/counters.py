@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.functions import measures as m
+from tallyworks.functions.calendar import utc_date, utc_instant
 from tallyworks.streaming.keyed_table import BATCH, read_latest, stream_upsert
 
 COUNTER_KEY = ("campaign_name", "event_date")
@@ -14,17 +15,16 @@ COUNTER_KEY = ("campaign_name", "event_date")
 def daily_counters(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Impressions and clicks per campaign and day; on a batch frame the watermark has no effect.
 
-    `event_timestamp` is read in the session zone, which the library keeps at UTC. Counts are partially
-    summed before the shuffle, so a hot campaign costs one state update per task. The watermark
-    lets finished days leave the state; a row later than it is dropped.
+    Counts are partially summed before the shuffle, so a hot campaign costs one state update per task. The
+    watermark lets finished days leave the state; a row later than it is dropped.
     """
-    timed = events.withColumn("_at", F.col("event_timestamp").cast("timestamp"))
+    timed = events.withColumn("_at", utc_instant("event_timestamp"))
     return (
         timed.withWatermark("_at", watermark)
         .groupBy("campaign_name", F.window("_at", "1 day").alias("_day"))
         .agg(m.rows().alias("impressions"), m.true_count("was_clicked").alias("clicks"))
         .select(
-            "campaign_name", F.to_date(F.col("_day.start")).alias("event_date"), "impressions", "clicks"
+            "campaign_name", utc_date("_day.start").alias("event_date"), "impressions", "clicks"
         )
     )
 

@@ -189,6 +189,14 @@ def test_checkpoints_need_a_shared_folder_on_a_cluster():
         session.shared_dir(Cluster())
 
 
+def test_cluster_sizes_grow_with_the_input():
+    mib = 1 << 20
+    small, large = session.cluster_conf(10 * 1024 * mib, 8), session.cluster_conf(100 * mib * mib, 8000)
+    assert small == {"spark.sql.files.maxPartitionBytes": str(128 * mib), "spark.sql.shuffle.partitions": "20"}
+    assert int(large["spark.sql.files.maxPartitionBytes"]) > 500 * mib
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+
+
 def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path):
     one = str(tmp_path / "one")
     spark.range(100).coalesce(1).write.parquet(one)

@@ -136,6 +136,15 @@ def test_counters_grow_over_batches_and_restarts(spark, tmp_path):
     assert run_counters(spark, tmp_path) == counter_rows(counters.daily_counters(one.unionByName(two)))
 
 
+def test_days_do_not_depend_on_the_session_zone(spark):
+    df = events(spark, ("c", "2024-01-01T00:00:00", True), ("c", "2024-01-01T23:59:59", False))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert counter_rows(counters.daily_counters(df)) == [("c", "2024-01-01", 2, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_late_row_is_dropped(spark, tmp_path):
     on_time = events(spark, ("c", "2024-01-10T00:00:00", True))
     on_time.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
