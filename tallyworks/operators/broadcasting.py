@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast when a bounded count proves `dim` small, else leave the join to AQE.
+    """Hint a broadcast when a count proves `dim` small, else leave the join to AQE.
 
-    Beyond the bound Spark plans a shuffled join, whose hot keys AQE splits. The count stops at the
-    bound, so it stays cheap on a large input. Meant for narrow (id, name) frames.
+    Beyond the bound Spark plans a shuffled join, whose hot keys AQE splits. The count is a plain
+    distributed one: a limit before it would bring the bound's worth of rows of every task to a single one.
+    Meant for narrow (id, name) frames that are tables, checkpointed or cheap to derive.
     """
-    seen = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if seen <= max_rows else dim
+    return F.broadcast(dim) if dim.count() <= max_rows else dim

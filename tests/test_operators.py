@@ -94,6 +94,25 @@ def test_bounded_sample_with_one_hot_value_and_nulls(spark):
     assert got == list(range(11_000))
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(12,2)", "double", "string"])
+def test_bounded_sample_by_other_types(spark, kind):
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 300).cast("int"))
+    lead = (F.col("id") * 7 % 300).cast(kind) if kind in ("decimal(12,2)", "double", "string") else day.cast(kind)
+    df = spark.range(9_000).select(lead.alias("v"), "id").repartition(3)
+    got = [r["id"] for r in sampling.bounded_sample(df, 2_000, ("v", "id")).collect()]
+    assert got == [r["id"] for r in df.orderBy("v", "id").collect()[:2_000]]
+
+
+def test_bounded_sample_narrows_down_a_wide_range(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, 10 ** 15).otherwise(F.col("id") * 3).alias("v"))
+    assert sorted(r["v"] for r in sampling.bounded_sample(df, 1_500, ("v",)).collect()) == [
+        3 * i for i in range(1_501) if i != 7]
+
+
+def test_bounded_sample_of_equal_rows(spark):
+    assert sampling.bounded_sample(spark.range(5_000).select(F.lit(1).alias("v")), 1_200, ("v",)).count() == 1_200
+
+
 def test_broadcast_only_below_the_bound(spark):
     small, large = spark.range(10), spark.range(1000)
     assert "hint" in broadcasting.broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString().lower()
