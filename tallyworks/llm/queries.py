@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, packing
+from tallyworks.llm import bitplanes, packing, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
@@ -16,14 +16,28 @@ def op4_bit_planes(spark: SparkSession, d: str) -> DataFrame:
     return bitplanes.read_documents(spark.read.schema(bitplanes.CHUNK_SCHEMA).parquet(path))
 
 
+def op5_warc_chunks(spark: SparkSession, d: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    manifest = warc.write_warc(warc.typed_records(table(spark, d, "pages")), folder)
+    chunks = warc.read_chunks(manifest, folder, with_data=False)
+    return chunks.where("last").select(
+        "page_id", F.col("bytes_so_far").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
 def op6_mixture_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         keep_white=True, end_id=0)
 
 
+def op7_unigram_counts(spark: SparkSession, d: str) -> DataFrame:
+    return unigram.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op4_bit_planes": op4_bit_planes,
+    "op5_warc_chunks": op5_warc_chunks,
     "op6_mixture_packing": op6_mixture_packing,
+    "op7_unigram_counts": op7_unigram_counts,
 }
 
 ORACLE: dict[str, str] = {}
