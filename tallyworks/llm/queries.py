@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, packing, unigram, warc
+from tallyworks.llm import bitplanes, decontamination, packing, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
@@ -33,11 +33,16 @@ def op7_unigram_counts(spark: SparkSession, d: str) -> DataFrame:
     return unigram.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_seeded_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op4_bit_planes": op4_bit_planes,
     "op5_warc_chunks": op5_warc_chunks,
     "op6_mixture_packing": op6_mixture_packing,
     "op7_unigram_counts": op7_unigram_counts,
+    "op8_seeded_alignment": op8_seeded_alignment,
 }
 
 ORACLE: dict[str, str] = {}
