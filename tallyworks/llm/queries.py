@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, decontamination, packing, unigram, warc
+from tallyworks.llm import bitplanes, decontamination, packing, toxicity, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
@@ -37,12 +37,18 @@ def op8_seeded_alignment(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op9_lexicon_automaton(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
 QUERIES = {
     "op4_bit_planes": op4_bit_planes,
     "op5_warc_chunks": op5_warc_chunks,
     "op6_mixture_packing": op6_mixture_packing,
     "op7_unigram_counts": op7_unigram_counts,
     "op8_seeded_alignment": op8_seeded_alignment,
+    "op9_lexicon_automaton": op9_lexicon_automaton,
 }
 
 ORACLE: dict[str, str] = {}
