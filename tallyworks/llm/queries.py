@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, decontamination, packing, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, decontamination, mil, packing, toxicity, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
+def op3_attention_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return mil.score(docs, mil.fit(docs, table(spark, d, "labels")))
+
+
 def op4_bit_planes(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "planes")
     bitplanes.write_ids(table(spark, d, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
@@ -43,6 +48,7 @@ def op9_lexicon_automaton(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_attention_quality": op3_attention_quality,
     "op4_bit_planes": op4_bit_planes,
     "op5_warc_chunks": op5_warc_chunks,
     "op6_mixture_packing": op6_mixture_packing,
