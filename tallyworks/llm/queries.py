@@ -5,10 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, decontamination, mil, packing, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, decontamination, mil, packing, quality_rules, toxicity, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
+def op1_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, d, "documents"), ["doc_id"])
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "outlier_distance")
+
+
 def op3_attention_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return mil.score(docs, mil.fit(docs, table(spark, d, "labels")))
@@ -48,6 +54,7 @@ def op9_lexicon_automaton(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_robust_outliers": op1_robust_outliers,
     "op3_attention_quality": op3_attention_quality,
     "op4_bit_planes": op4_bit_planes,
     "op5_warc_chunks": op5_warc_chunks,
