@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, decontamination, mil, packing, quality_rules, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
@@ -53,6 +53,10 @@ def op9_lexicon_automaton(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
 
 
+def op10_diagonal_votes(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op3_attention_quality": op3_attention_quality,
@@ -62,6 +66,7 @@ QUERIES = {
     "op7_unigram_counts": op7_unigram_counts,
     "op8_seeded_alignment": op8_seeded_alignment,
     "op9_lexicon_automaton": op9_lexicon_automaton,
+    "op10_diagonal_votes": op10_diagonal_votes,
 }
 
 ORACLE: dict[str, str] = {}
