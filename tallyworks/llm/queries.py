@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, chosen_path, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
 from tallyworks.llm.staging import fresh_path, table
 
 
@@ -15,6 +15,10 @@ def op1_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
                          "base_failed", "kept", "outlier_distance")
 
 
+def op2_chosen_path(spark: SparkSession, d: str) -> DataFrame:
+    return chosen_path.similarity_join(table(spark, d, "documents"))
+
+
 def op3_attention_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return mil.score(docs, mil.fit(docs, table(spark, d, "labels")))
@@ -59,6 +63,7 @@ def op10_diagonal_votes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
+    "op2_chosen_path": op2_chosen_path,
     "op3_attention_quality": op3_attention_quality,
     "op4_bit_planes": op4_bit_planes,
     "op5_warc_chunks": op5_warc_chunks,
