@@ -157,7 +157,7 @@ def _gradients(x, y, begin, w) -> dict[str, np.ndarray]:
             "o": f["z"].T @ d, "b": np.array(d.sum())}
 
 
-def train(x: np.ndarray, begin: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 128,
+def train(x: np.ndarray, begin: np.ndarray, y: np.ndarray, steps: int = 600, batch: int = 128,
           rate: float = 4e-3, decay: float = 1e-4, seed: int = 7) -> AttentionModel:
     """Fit on bags: bag i has the rows begin[i] to begin[i + 1] of x and the label y[i]."""
     share = float((y.sum() + 1) / (len(y) + 2))
@@ -172,21 +172,20 @@ def train(x: np.ndarray, begin: np.ndarray, y: np.ndarray, epochs: int = 12, bat
          "b": np.array(np.log(share / (1 - share)))}
     m = {k: np.zeros_like(v) for k, v in w.items()}
     v = {k: np.zeros_like(u) for k, u in w.items()}
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(y))
-        for k in range(0, len(order), batch):
-            bags = order[k:k + batch]
-            n = begin[bags + 1] - begin[bags]
-            edges = np.concatenate([[0], np.cumsum(n)])
-            rows = np.arange(edges[-1]) + np.repeat(begin[bags] - edges[:-1], n)
-            step += 1
-            speed = rate * (1 - epoch / epochs)
-            for name, g in _gradients(x[rows], y[bags], edges, w).items():
-                m[name] = 0.9 * m[name] + 0.1 * g
-                v[name] = 0.999 * v[name] + 0.001 * g * g
-                move = m[name] / (1 - 0.9 ** step) / (np.sqrt(v[name] / (1 - 0.999 ** step)) + 1e-8)
-                w[name] = w[name] - speed * (move + decay * w[name])
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(order) < batch:
+            order = np.concatenate([order, rng.permutation(len(y))])
+        bags, order = order[:batch], order[batch:]
+        n = begin[bags + 1] - begin[bags]
+        edges = np.concatenate([[0], np.cumsum(n)])
+        rows = np.arange(edges[-1]) + np.repeat(begin[bags] - edges[:-1], n)
+        speed = rate * (1 - step / (steps + 1))
+        for name, g in _gradients(x[rows], y[bags], edges, w).items():
+            m[name] = 0.9 * m[name] + 0.1 * g
+            v[name] = 0.999 * v[name] + 0.001 * g * g
+            move = m[name] / (1 - 0.9 ** step) / (np.sqrt(v[name] / (1 - 0.999 ** step)) + 1e-8)
+            w[name] = w[name] - speed * (move + decay * w[name])
     return AttentionModel(share, mean.astype(np.float32), scale.astype(np.float32),
                           {k: np.asarray(u, np.float32) for k, u in w.items()})
 
