@@ -2,8 +2,9 @@
 
 1. One scan of the training texts keeps the word n-grams that a bitmap of all benchmark n-grams lets through, as
    (row, n-gram, position). The bitmap has a fixed size; what it lets through by chance goes in the next join.
-2. Per benchmark item, the n-grams that are rare in the corpus are its seeds: those at or below the item's median
-   count, so every item keeps at least half of its n-grams however often it was copied.
+2. Per benchmark item, the n-grams that are rare in the corpus are its seeds: those with at most `COMMON` times the
+   item's median count. A run of everyday words is far above it; n-grams that edited copies happen to keep are
+   not, and however often an item was copied it has more than half of its n-grams as seeds.
 3. Seeds join the kept positions; hits on one item meet per band of diagonals (training position minus item
    position), so a row has one candidate per place and not one per hit.
 4. The words around each candidate are aligned with the item by local alignment: +1 for equal words, -0.5 for
@@ -30,6 +31,7 @@ from tallyworks.llm.textgrid import grams, text_blocks, words
 
 NGRAM = 4
 MIN_SCORE = 0.4
+COMMON = 8
 BITMAP_BITS = 22
 MISS, GAP = 0.5, 0.5
 
@@ -123,7 +125,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, min_score:
     counts = known.groupBy("gram").agg(F.count("*").alias("n_corpus"))
     each = item_grams.join(counts, "gram", "left").na.fill(0, ["n_corpus"])
     middle = each.groupBy("item_key").agg(F.percentile("n_corpus", 0.5).alias("middle"))
-    seeds = staged(each.join(middle, "item_key").where(F.col("n_corpus") <= F.col("middle"))
+    seeds = staged(each.join(middle, "item_key").where(F.col("n_corpus") <= COMMON * (F.col("middle") + 1))
                    .select("gram", "item_key", F.col("pos").alias("item_pos")), "seeds")
     sizes = item_grams.groupBy("item_key").agg((F.max("pos") + n).alias("item_words"))
 

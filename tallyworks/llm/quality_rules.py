@@ -233,12 +233,13 @@ def _verdicts(stored: DataFrame) -> DataFrame:
             F.struct(*fields).alias(f"{prefix}e"))
 
     own, lang = level(0, "a_"), level(1, "b_")
-    whole = estimates.where(F.col("key.level") == 2).select(F.struct(*fields).alias("c_e"))
+    # The estimate of all rows is one row of a few numbers.
+    last = estimates.where(F.col("key.level") == 2).select(*fields).head()
+    whole = F.struct(*[F.lit(None if last is None else last[f]).cast("double").alias(f) for f in fields])
     judged = (stored
               .join(own, stored["lang"].eqNullSafe(own["a_lang"]) & stored["source"].eqNullSafe(own["a_source"]), "left")
               .join(lang, stored["lang"].eqNullSafe(lang["b_lang"]), "left")
-              .join(F.broadcast(whole), F.lit(True), "left")
-              .withColumn("_e", F.coalesce("a_e", "b_e", "c_e"))
+              .withColumn("_e", F.coalesce(F.col("a_e"), F.col("b_e"), whole))
               .select(*stored.columns, *[F.col(f"_e.{f}").alias(f"_{f}") for f in fields]))
     mean = {name: F.col(f"_m{k}") for k, name in enumerate(STATS)}
     off = {name: F.col(name) - mean[name] for name in STATS}
