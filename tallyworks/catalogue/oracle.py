@@ -153,6 +153,21 @@ _TITLES = {
     "q7_ctr_by_device": "Click-through rate of each device",
 }
 
+# How a column's value stands in JSON: ratios as decimals, money as text, all else as it is.
+_JSON_VALUE = {
+    **dict.fromkeys(("ctr_pct", "cpc", "cpm", "pct_budget_spent"), "CAST(CAST({} AS DECIMAL(24,4)) AS VARCHAR)"),
+    **dict.fromkeys(("total_spend", "total_cost", "total_revenue", "total_budget", "total_spent"), "CAST({} AS VARCHAR)"),
+}
+_REPORT_COLUMNS = {
+    "q1_top_campaigns_by_ctr": ("campaign_name", "advertiser", "impressions", "clicks", "ctr_pct"),
+    "q2_advertiser_spending": ("advertiser", "impressions", "total_clicks", "total_spend", "ctr_pct"),
+    "q3_campaign_cpc_cpm": ("campaign_name", "advertiser", "impressions", "clicks", "total_cost", "cpc", "cpm"),
+    "q4_top_locations_by_revenue": ("location", "click_events", "total_revenue"),
+    "q5_top_engaged_users": ("user_id", "age", "gender", "country", "total_clicks"),
+    "q6_near_budget_exhaustion": ("campaign_name", "advertiser", "total_budget", "total_spent", "pct_budget_spent"),
+    "q7_ctr_by_device": ("device_name", "impressions", "clicks", "ctr_pct"),
+}
+
 
 def _with(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body.strip()
@@ -257,7 +272,7 @@ JOIN users USING (user_id)
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, event_id) <= 50""",
     "user_engagement_counts": """
 SELECT u.user_id, LEAST(COUNT(e.user_id), 50) AS engagements
-FROM users u LEFT JOIN (SELECT user_id FROM ae) e ON e.user_id = u.user_id GROUP BY u.user_id""",
+FROM users u LEFT JOIN (SELECT user_id FROM ae WHERE qty < 49) e ON e.user_id = u.user_id GROUP BY u.user_id""",
     "fk_orphans": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS foreign_key, COUNT(DISTINCT k) AS orphan_keys, COUNT(k) AS orphan_rows FROM "
         f"(SELECT {key} AS k FROM {child}) WHERE k IS NOT NULL AND k NOT IN (SELECT p FROM ({parents}) AS t(p))"
@@ -343,8 +358,8 @@ GROUP BY year, month, product_id, product_title""",
     "customer_hater_monthly": _customer_month("star_rating IN (1, 2)"),
     "customer_backer_monthly": _customer_month("star_rating IN (4, 5)"),
     "top_products_by_reviews": """
-SELECT product_id, total_reviews, avg_star_rating, substr(product_title, 1, 50) AS product_title FROM stats
-ORDER BY total_reviews DESC, product_id, stats.product_title LIMIT 10""",
+SELECT product_id, total_reviews, avg_star_rating, product_title, substr(product_title, 1, 50) AS short_title FROM stats
+ORDER BY total_reviews DESC, product_id, product_title LIMIT 10""",
     "highly_rated_products": """
 SELECT * FROM stats WHERE avg_star_rating >= 4.5 AND total_reviews >= 20
 ORDER BY avg_star_rating DESC, total_reviews DESC, product_id, product_title LIMIT 10""",
@@ -384,10 +399,18 @@ FROM rv WHERE customer_id = '46'""",
 _TWEET_ROWS = """
 tweets AS (
   SELECT CAST(user_id AS VARCHAR) AS customer_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS review_date,
-         props AS review_body, ts FROM events
+         props AS review_body, ts, value FROM events
 )"""
 _MINUTES = """
-SELECT 'tweets_' || strftime(ts, '%d_%m_%Y_%H_%M') || '.csv' AS minute_file, COUNT(*) AS rows FROM tweets GROUP BY 1"""
+SELECT 'tweets_' || strftime(ts, '%d_%m_%Y_%H_%M') || '.csv' AS minute_file, COUNT(*) AS rows FROM tweets WHERE value >= 2 GROUP BY 1"""
+_UNTIMED = """
+SELECT value, reason FROM (
+  SELECT '{"customer_id":"' || user_id || '","review_date":"' || CASE WHEN e.value < 2 THEN 'on ' ELSE '' END
+         || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","review_body":"'
+         || replace(replace(props, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"}' AS whole,
+         CASE WHEN e.value < 1 THEN substr(whole, 1, 20) ELSE whole END AS value,
+         CASE WHEN e.value < 1 THEN 'not JSON' ELSE 'unreadable time' END AS reason, e.value AS amount
+  FROM events e) WHERE amount < 2"""
 _PAGES = """
 SELECT event_type AS domain, ts AS created_at, 'page_' || json_extract_string(props, '$.k') AS page_title,
        MAX(user_id) AS user_id
@@ -411,7 +434,7 @@ SELECT p_partkey,
        CASE WHEN p_type = 'PROMO' THEN p_size WHEN p_type NOT IN ('SMALL', 'LARGE', 'MEDIUM') THEN p_size * 2 END AS height
 FROM part""",
     "sample_first_n": """
-SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+SELECT * FROM lineitem
 ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 25000""",
     "insert_ignore": """
 SELECT c_custkey AS user_id, 'customer' AS source FROM customer WHERE c_acctbal >= 0
@@ -472,6 +495,10 @@ ORACLE: dict[str, str] = {
         f"SELECT '{key}' AS query, '{_TITLES[key]}' AS title, COUNT(*) AS row_count FROM ({sql})"
         for key, sql in _REPORTS.items()
     )),
+    "report_rows": _with(_AE, _DIMS, body="\nUNION ALL\n".join(
+        f"SELECT '{key}' AS query, CAST(to_json(struct_pack("
+        + ", ".join(f"{c} := {_JSON_VALUE.get(c, '{}').format(c)}" for c in _REPORT_COLUMNS[key])
+        + f")) AS VARCHAR) AS row_json FROM ({sql})" for key, sql in _REPORTS.items())),
     "normalise_campaigns": _with(_NUMBERED, body="SELECT * FROM numbered_campaigns"),
     "normalise_events": _with(_AE, _NUMBERED, body=f"""
 SELECT {_UUID.format("event_id")} AS event_id, k.campaign_id, user_id, l.location_id, d.device_id,
@@ -481,4 +508,12 @@ LEFT JOIN (SELECT n_name, row_number() OVER (ORDER BY n_name) AS location_id FRO
 LEFT JOIN (SELECT o_orderpriority AS name, row_number() OVER (ORDER BY o_orderpriority) AS device_id
            FROM (SELECT DISTINCT o_orderpriority FROM orders)) d ON d.name = device"""),
     "minute_buckets": _with(_TWEET_ROWS, body=_MINUTES),
+    "minute_quarantine": _UNTIMED.strip(),
 }
+# One entity of each look-up: the answer for all of them, cut to the one.
+ORACLE["campaign_performance_one"] = (
+    f"SELECT * FROM ({ORACLE['campaign_performance']}) ORDER BY campaign_name LIMIT 1")
+ORACLE["advertiser_spending_one"] = (
+    f"SELECT * FROM ({ORACLE['advertiser_spending']}) ORDER BY advertiser_name LIMIT 1")
+ORACLE["user_engagements_one"] = _with(_AE, _DIMS, body=_LOOKUPS["user_engagements"].replace(
+    "JOIN users USING (user_id)", "JOIN users USING (user_id) WHERE user_id = 46 AND qty < 49"))

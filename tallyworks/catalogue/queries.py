@@ -20,10 +20,10 @@ from tallyworks.plans import cleaning, comparison, event_rollups as er, jobs, lo
 from tallyworks.plans import review_rollups as rr
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import shared_dir
-from tallyworks.sinks.reports import report_counts
+from tallyworks.sinks.reports import report_counts, report_rows as all_rows
 from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
-from tallyworks.sources.files import read_keyed, spread_small_scan
+from tallyworks.sources.files import read_keyed
 from tallyworks.sources.intake import intake_counts, parse_events
 from tallyworks.streaming import counters, minutes
 from tallyworks.streaming.pages import run_chain
@@ -37,6 +37,7 @@ AS_OF = date(2001, 10, 31)
 MONTH_START, MONTH_END = date(1998, 3, 15), date(1999, 2, 10)
 CAMPAIGN, PLACE = "Brand#7/PROMO", "NATION_3"
 PRODUCT, CUSTOMER = "46", "46"
+USER = 46
 SAMPLE_ROWS = 25_000
 HEAVY = 25
 
@@ -90,11 +91,26 @@ def q7_ctr_by_device(spark, d):
     return reports.q7_ctr_by_device(facts, v.devices(spark, d), START, END)
 
 
+def _report(spark, d):
+    by_campaign = v.ad_facts(spark, d, "campaign_id", "timestamp", "was_clicked", "ad_cost")
+    by_group = v.ad_facts(spark, d, "location_id", "user_id", "device_id", "timestamp", "was_clicked", "ad_revenue")
+    return reports.campaign_report(
+        by_campaign, v.campaigns(spark, d), v.advertisers(spark, d), v.users(spark, d), v.locations(spark, d),
+        v.devices(spark, d), START, END, by_group=by_group)
+
+
 def report_manifest(spark, d):
-    """Row counts of all seven reports in one job; each reads only the columns it needs."""
-    each = (q1_top_campaigns_by_ctr, q2_advertiser_spending, q3_campaign_cpc_cpm, q4_top_locations_by_revenue,
-            q5_top_engaged_users, q6_near_budget_exhaustion, q7_ctr_by_device)
-    return report_counts({f.__name__: (reports.TITLES[f.__name__], f(spark, d)) for f in each})
+    """Row counts of all seven reports, from two scans of the facts."""
+    return report_counts(_report(spark, d))
+
+
+def report_rows(spark, d):
+    """The rows of all seven reports as JSON, from two scans of the facts; ratios as decimals, so that every
+    engine writes them alike."""
+    def exact(df):
+        return df.withColumns({c: F.col(c).cast("decimal(24,4)") for c, kind in df.dtypes if kind == "double"})
+
+    return all_rows({key: (title, exact(df)) for key, (title, df) in _report(spark, d).items()})
 
 
 # Event rollups and the queries over them
@@ -166,7 +182,32 @@ def user_engagements(spark, d):
 
 
 def user_engagement_counts(spark, d):
-    return lookups.user_engagement_counts(v.ad_facts(spark, d, "user_id"), v.users(spark, d))
+    return lookups.user_engagement_counts(
+        v.dirty_facts(spark, d), v.campaigns(spark, d), v.advertisers(spark, d), v.users(spark, d))
+
+
+def _advertiser(spark, d):
+    """The id of the first advertiser by name."""
+    return v.advertisers(spark, d).orderBy("name").first()["advertiser_id"]
+
+
+def campaign_performance_one(spark, d):
+    """One campaign; the key reaches the scan side of the aggregate."""
+    facts = v.ad_facts(spark, d, "event_id", "campaign_id", "was_clicked", "ad_cost")
+    campaigns = v.campaigns(spark, d)
+    return lookups.campaign_performance(
+        facts, campaigns, campaigns.orderBy("campaign_name").first()["campaign_id"])
+
+
+def advertiser_spending_one(spark, d):
+    facts = v.ad_facts(spark, d, "event_id", "campaign_id", "was_clicked", "ad_cost", "ad_revenue")
+    return lookups.advertiser_spending(
+        facts, v.campaigns(spark, d), v.advertisers(spark, d), _advertiser(spark, d))
+
+
+def user_engagements_one(spark, d):
+    return lookups.user_engagements(
+        v.dirty_facts(spark, d), v.campaigns(spark, d), v.advertisers(spark, d), v.users(spark, d), USER)
 
 
 # Reviews
@@ -339,8 +380,7 @@ def parse_slot(spark, d):
 # Keyed tables, samples and messages
 
 def sample_first_n(spark, d):
-    facts = v.table(spark, d, "lineitem").select(
-        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    facts = v.table(spark, d, "lineitem")
     order = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return bounded_sample(facts, SAMPLE_ROWS, order)
 
@@ -367,7 +407,7 @@ def upsert_last_wins(spark, d):
 
 
 def _web_events(spark, d):
-    return spread_small_scan(v.table(spark, d, "events"))
+    return v.table(spark, d, "events")
 
 
 def json_intake_counts(spark, d):
@@ -418,7 +458,12 @@ def stream_page_creates(spark, d):
 
 
 def minute_buckets(spark, d):
-    return minutes.bucket_counts(minutes.minute_rows(publish_json(spark, d)))
+    return minutes.bucket_counts(minutes.minute_rows(v.dirty_tweets(v.table(spark, d, "events"))))
+
+
+def minute_quarantine(spark, d):
+    """The short messages that belong to no minute, with the reason."""
+    return minutes.minute_quarantine(v.dirty_tweets(v.table(spark, d, "events")))
 
 
 def campaign_day_counters(spark, d):
@@ -429,7 +474,7 @@ def campaign_day_counters(spark, d):
 def stream_campaign_day_counters(spark, d):
     """The same counters from a stream of line items joined to the parts.
 
-    The lines are not in order of time, so the watermark spans all of it.
+    What is there at the start is one batch, in which no row is late; the watermark of a day closes days after it.
     """
     out = _scratch(spark, "counters")
     part = v.table(spark, d, "part").select(
@@ -438,7 +483,7 @@ def stream_campaign_day_counters(spark, d):
     events = lines.join(part, "l_partkey").select(
         "campaign_name", F.col("l_shipdate").alias("event_timestamp"),
         (F.col("l_returnflag") == "R").alias("was_clicked"))
-    counters.stream_daily_counters(events, f"{out}/table", f"{out}/ckpt", "36500 days").awaitTermination()
+    counters.stream_daily_counters(events, f"{out}/table", f"{out}/ckpt").awaitTermination()
     return counters.read_counters(spark, f"{out}/table")
 
 
@@ -517,11 +562,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         q1_top_campaigns_by_ctr, q2_advertiser_spending, q3_campaign_cpc_cpm, q4_top_locations_by_revenue,
-        q5_top_engaged_users, q6_near_budget_exhaustion, q7_ctr_by_device, report_manifest,
+        q5_top_engaged_users, q6_near_budget_exhaustion, q7_ctr_by_device, report_manifest, report_rows,
         campaign_performance_by_day, advertiser_spend_by_day, user_engagement_history, most_active_users,
         high_spending_advertisers_by_region, campaign_daily_history, top_advertisers_30d, last_ads_per_user,
         top_clickers_30d, top_advertisers_region_30d, events_clean,
         campaign_performance, advertiser_spending, user_engagements, user_engagement_counts,
+        campaign_performance_one, advertiser_spending_one, user_engagements_one,
         reviews_clean, reviews_clean_verified, product_stats, customer_stats, monthly_product_reviews,
         reviews_by_product, reviews_by_customer, product_monthly_counts, customer_verified_monthly,
         customer_hater_monthly, customer_backer_monthly, top_products_by_reviews, highly_rated_products,
@@ -529,7 +575,7 @@ QUERIES: dict[str, Query] = {
         most_productive_customers, most_productive_haters, most_productive_backers,
         normalise_campaigns, normalise_events, user_interests, surrogate_lookup, fk_orphans, cascade_survivors,
         parse_slot, sample_first_n, upsert_last_wins, json_intake_counts, publish_json, variant_speedup,
-        months_in_range, wiki_filtered, wiki_page_creates, stream_page_creates, minute_buckets,
+        months_in_range, wiki_filtered, wiki_page_creates, stream_page_creates, minute_buckets, minute_quarantine,
         campaign_day_counters, stream_campaign_day_counters, replay_restamped,
         keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
         product_reviews_rated, customer_reviews,

@@ -11,8 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tallyworks.sources.files import spread_small_scan
-
 EVENT_COLUMNS = (
     "event_id", "advertiser_name", "campaign_name", "target_country", "user_id", "location", "device",
     "ad_slot_size", "event_timestamp", "bid_amount", "ad_cost", "was_clicked", "click_timestamp",
@@ -22,7 +20,6 @@ FACT_COLUMNS = (
     "event_id", "campaign_id", "user_id", "location_id", "device_id", "timestamp", "bid_amount", "ad_cost",
     "was_clicked", "click_timestamp", "ad_revenue",
 )
-_WIDE = 7  # from this many columns on, row-wise work outweighs redistributing a small scan
 WEB_DOMAINS = ("click", "view", "purchase")  # the event types taken as allowed sites
 
 
@@ -71,8 +68,6 @@ def _line_columns() -> dict[str, Column]:
 def _lines(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     """Line items with the source columns of `wanted` joined to them."""
     lines = table(spark, sf_dir, "lineitem")
-    if len(wanted) >= _WIDE:
-        lines = spread_small_scan(lines)
     if wanted & {"campaign_name", "advertiser_name", "campaign_id", "ad_slot_size"}:
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"),
@@ -126,6 +121,14 @@ def ad_facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _project(_lines(spark, sf_dir, set(wanted)), wanted)
 
 
+def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of which some have no campaign (quantity 50) or one that nobody knows (quantity 49)."""
+    lines = _lines(spark, sf_dir, set(FACT_COLUMNS))
+    qty = F.col("l_quantity").cast("int")
+    known = F.when(qty == 50, None).when(qty == 49, F.lit(-1)).otherwise(F.col("campaign_id"))
+    return _project(lines.withColumn("campaign_id", known), FACT_COLUMNS)
+
+
 def advertisers(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("name")).distinct()
     return brands.select(name_id(F.col("name")).alias("advertiser_id"), "name")
@@ -241,8 +244,6 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     computed = _review_columns()
     wanted = columns or tuple(computed)
     lines = table(spark, sf_dir, "lineitem")
-    if len(wanted) >= _WIDE:
-        lines = spread_small_scan(lines)
     if set(wanted) & {"product_title", "product_category", "star_rating", "review_headline", "review_body"}:
         part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
         lines = lines.join(part, "l_partkey")
@@ -262,7 +263,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     6, 49 the rating "Y", 48 no customer, 47 no date, and ratings of quantity 46 are written as decimals."""
     qty = F.col("l_quantity").cast("int")
     lines = (
-        spread_small_scan(table(spark, sf_dir, "lineitem"))
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
         .join(
             table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
@@ -309,6 +310,16 @@ def _iso(c: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def dirty_tweets(events: DataFrame) -> DataFrame:
+    """The same rows as messages, of which those of a value below 1 are cut off and below 2 have no readable time."""
+    amount = F.col("value")
+    row = F.struct(
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.when(amount < 2, F.concat(F.lit("on "), _iso("ts"))).otherwise(_iso("ts")).alias("review_date"),
+        F.col("props").alias("review_body"))
+    return events.select(F.when(amount < 1, F.substring(F.to_json(row), 1, 20)).otherwise(F.to_json(row)).alias("value"))
+
+
 def tweets(events: DataFrame) -> DataFrame:
     """Rows of the short-message topic."""
     return events.select(

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyworks.operators.broadcasting import broadcast_if_small
 from tallyworks.session import enable_checkpoints
 
 # monotonically_increasing_id() documents its layout: partition number above 33 bits of row number.
@@ -46,8 +45,8 @@ def rank_within(
     """Row number inside each group of `by`, exact however large one group is.
 
     Rows get their global position first; subtracting the first position of the group leaves the rank,
-    so no task has to hold a group. Few groups are joined by broadcast, so a hot one is not even shuffled;
-    many groups by a shuffled join, whose hot keys AQE splits.
+    so no task has to hold a group. Spark broadcasts the starts of few groups by their size and shuffles those of
+    many, where AQE splits hot keys.
     """
     if not by:
         return number_rows(df, order, name)
@@ -56,7 +55,7 @@ def rank_within(
     same = F.lit(True)
     for c in by:
         same = same & placed[c].eqNullSafe(starts[f"_by_{c}"])
-    ranked = placed.join(broadcast_if_small(starts), same).withColumn(name, F.col("_position") - F.col("_first") + 1)
+    ranked = placed.join(starts, same).withColumn(name, F.col("_position") - F.col("_first") + 1)
     return ranked.select(*df.columns, name)
 
 

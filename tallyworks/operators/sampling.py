@@ -4,83 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from tallyworks.functions.calendar import utc_instant
-
-_DIRECT = 1_000
-_BUCKETS = 1_000
+from tallyworks.operators.ranking import number_rows
 
 
 def bounded_sample(df: DataFrame, n: int = 100_000, order_cols: Sequence[str] = ("event_id",)) -> DataFrame:
     """Exactly the first `n` rows by `order_cols` (which should be total), or all rows when there are fewer.
 
-    A sort with a limit brings up to n rows of every task to the last one, which is fine for a small n.
-    For a large one a histogram of the first order column finds the narrow range the n-th row lies in:
-    at most 1,000 counts come to the driver, and the range is divided again until it holds few rows.
-    Rows before it are taken as they are, and only those inside are sorted and cut. If one single value
-    fills the range, its rows are divided by the next column.
+    Rows are sorted by ranges and numbered from one count per sorted partition, for every n and column type alike. No
+    task sees more than its range, and partitions beyond the cut give nothing. Nulls come first.
     """
-    lead, *rest = order_cols
-    kind = df.schema[lead].dataType
-    number = _as_number(lead, kind)
-    if n <= _DIRECT or number is None:
-        return df.orderBy(*order_cols).limit(n)
-    need = n - df.filter(F.col(lead).isNull()).count()  # nulls come first
-    if need <= 0:
-        return _next_column(df.filter(F.col(lead).isNull()), n, rest)
-
-    scope = df.filter(F.col(lead).isNotNull())
-    while True:
-        low, high, size, start, end = scope.agg(
-            F.min(lead), F.max(lead), F.count(F.lit(1)), F.min(number), F.max(number)).first()
-        if size <= max(need, 2 * n) or not float("-inf") < start < end < float("inf"):
-            break
-        buckets = _histogram(scope, lead, number, start, end)
-        before = 0
-        for _, count, first, last in buckets:
-            if before + count >= need:
-                break
-            before += count
-        need -= before
-        scope = df.filter((F.col(lead) >= _literal(first, kind)) & (F.col(lead) <= _literal(last, kind)))
-
-    if size <= need:
-        inside = scope
-    elif low == high:
-        inside = _next_column(scope, need, rest)
-    else:
-        inside = scope.orderBy(*order_cols).limit(need)
-    if low is None:
-        return df.orderBy(*order_cols)
-    earlier = df.filter((F.col(lead) < _literal(low, kind)) | F.col(lead).isNull())
-    return earlier.unionByName(inside).orderBy(*order_cols)
-
-
-def _histogram(scope: DataFrame, lead: str, number: Column, start: float, end: float) -> list:
-    """(bucket, rows, smallest, greatest) of the non-empty buckets in order."""
-    share = (number - F.lit(start)) / F.lit(end - start)
-    bucket = F.least(F.floor(share * _BUCKETS), F.lit(_BUCKETS - 1)).alias("bucket")
-    counts = scope.groupBy(bucket).agg(F.count(F.lit(1)), F.min(lead), F.max(lead))
-    return sorted(tuple(row) for row in counts.collect())
-
-
-def _next_column(df: DataFrame, n: int, rest: Sequence[str]) -> DataFrame:
-    return bounded_sample(df, n, rest) if rest else df.limit(n)
-
-
-def _as_number(c: str, kind: T.DataType) -> Column | None:
-    """A double that never falls where `c` rises; null for types without one."""
-    if isinstance(kind, T.NumericType):
-        return F.col(c).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(utc_instant(c)).cast("double")
-    return None
-
-
-def _literal(value, kind: T.DataType) -> Column:
-    return F.lit(str(value)).cast(kind) if isinstance(kind, T.TimestampNTZType) else F.lit(value).cast(kind)
+    return number_rows(df, order_cols, "_position").filter(F.col("_position") <= n).drop("_position")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyworks.operators.broadcasting import broadcast_if_small
 from tallyworks.operators.ranking import number_rows
 
 
@@ -37,4 +36,4 @@ def attach_ids(
     join facts without an entry are dropped, with "left" they keep a null id.
     """
     latest = dim.groupBy(F.col(dim_name).alias(name_col)).agg(F.max(dim_id).alias(dim_id))
-    return facts.join(broadcast_if_small(latest), name_col, how).drop(name_col)
+    return facts.join(latest, name_col, how).drop(name_col)

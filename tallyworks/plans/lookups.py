@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyworks.functions import measures as m
-from tallyworks.operators.broadcasting import broadcast_if_small
 from tallyworks.operators.keyed import newest_per_key
 
 
@@ -39,7 +38,13 @@ def campaign_performance(events: DataFrame, campaigns: DataFrame, campaign_id: i
 def advertiser_spending(
     events: DataFrame, campaigns: DataFrame, advertisers: DataFrame, advertiser_id: int | None = None
 ) -> DataFrame:
-    """Spend, impressions, clicks and revenue over all campaigns of an advertiser; zeros are kept."""
+    """Spend, impressions, clicks and revenue over all campaigns of an advertiser; zeros are kept.
+
+    For one advertiser only the events of its campaigns are aggregated.
+    """
+    if advertiser_id is not None:
+        own = _only(campaigns, "advertiser_id", advertiser_id).select("campaign_id")
+        events = events.join(own, "campaign_id", "left_semi")
     per_campaign = (
         events.groupBy("campaign_id")
         .agg(
@@ -71,16 +76,15 @@ def user_engagements(
 ) -> DataFrame:
     """The newest `n` events of each known user with campaign and advertiser names.
 
-    The names are joined inside the map tasks when a count shows them small (otherwise Spark shuffles),
-    because only events with a campaign may take one of the n places. Users are checked last, on at
-    most n rows each.
+    Names are joined first, because only events with a known campaign may take one of the n places. Users are checked
+    last, on at most n rows each.
     """
     owned = campaigns.select("campaign_id", "advertiser_id", "campaign_name")
     named = owned.join(
         advertisers.select("advertiser_id", F.col("name").alias("advertiser_name")), "advertiser_id"
     )
     mine = _only(events, "user_id", user_id).filter(F.col("user_id").isNotNull())
-    listed = mine.join(broadcast_if_small(named), "campaign_id").select(
+    listed = mine.join(named, "campaign_id").select(
         "user_id", "event_id", "campaign_name", "advertiser_name", "timestamp", "was_clicked",
         "click_timestamp", "ad_cost", "ad_revenue",
     )
@@ -89,14 +93,19 @@ def user_engagements(
 
 
 def user_engagement_counts(
-    events: DataFrame, users: DataFrame, user_id: int | None = None, n: int = 50
+    events: DataFrame, campaigns: DataFrame, advertisers: DataFrame, users: DataFrame,
+    user_id: int | None = None, n: int = 50,
 ) -> DataFrame:
-    """How many events `user_engagements` lists per user.
+    """How many events `user_engagements` lists per user: those of a known campaign and advertiser.
 
-    A known user without events has a row with 0, an unknown user none: that tells the two apart.
+    A known user without events has a row with 0, an unknown user none: that tells the two apart. Events are summed per
+    user and campaign before campaigns are checked, so neither a hot user nor a hot campaign is shuffled row by row.
     """
+    known = campaigns.join(advertisers.select("advertiser_id"), "advertiser_id", "left_semi").select("campaign_id")
     totals = (
-        _only(events, "user_id", user_id).groupBy("user_id").agg(m.rows().alias("events"))
+        _only(events, "user_id", user_id).groupBy("user_id", "campaign_id").agg(m.rows().alias("events"))
+        .join(known, "campaign_id", "left_semi")
+        .groupBy("user_id").agg(F.sum("events").alias("events"))
     )
     return _only(users.select("user_id"), "user_id", user_id).join(totals, "user_id", "left").select(
         "user_id", F.least(m.count_or_zero("events"), F.lit(n).cast("bigint")).alias("engagements")

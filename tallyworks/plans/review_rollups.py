@@ -118,8 +118,8 @@ def customer_monthly(reviews: DataFrame, predicate: Column) -> DataFrame:
 
 def top_products_by_reviews(stats: DataFrame, n: int = 10) -> DataFrame:
     best = top_n(stats, [F.desc("total_reviews"), "product_id", "product_title"], n)
-    return best.select("product_id", "total_reviews", "avg_star_rating",
-                       title_prefix("product_title").alias("product_title"))
+    return best.select("product_id", "total_reviews", "avg_star_rating", "product_title",
+                       title_prefix("product_title").alias("short_title"))
 
 
 def highly_rated_products(

@@ -30,12 +30,12 @@ def build_session(app: str = "tallyworks", master: str | None = None, **conf: st
 def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Split and shuffle sizes for a given input, to pass to `build_session(**...)`.
 
-    Splits grow with the input so that a scan stays below about 200,000 tasks. Shuffles start with up to
-    50,000 partitions and at least two per core; AQE merges those that turn out small.
+    Splits grow with the input, up to 1 GB each. Shuffles start with partitions of about 512 MB and at least two per
+    core; AQE merges those that turn out small.
     """
     mib = 1 << 20
     split = min(max(input_bytes // 200_000, 128 * mib), 1024 * mib)
-    shuffle = min(max(input_bytes // (512 * mib), 2 * cores), 50_000)
+    shuffle = max(input_bytes // (512 * mib), 2 * cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -10,22 +10,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyworks.sinks.tables import counted
 
-INLINE_ROWS = 1_000
-
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """A single headed CSV file (in its own folder). Reports have at most a few thousand rows."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Headed CSV files in their own folder, in the order of the report; a small report is one file."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _manifest_rows(df: DataFrame) -> DataFrame:
-    """Rows as JSON text: dates in ISO form, decimals as strings."""
+def _row_json(df: DataFrame):
+    """A row as JSON text: dates in ISO form, decimals as strings, nulls kept."""
     columns = [
         F.col(f.name).cast("string").alias(f.name)
         if f.dataType.typeName().startswith(("decimal", "date", "timestamp")) else F.col(f.name)
         for f in df.schema.fields
     ]
-    return df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def report_rows(reports: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
+    """(query, row_json): all rows of all reports."""
+    rows = None
+    for key, (_, df) in reports.items():
+        one = df.select(F.lit(key).alias("query"), _row_json(df).alias("row_json"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 def run_report(
@@ -36,36 +43,29 @@ def run_report(
     out: str,
     generated_at: datetime | None = None,
 ) -> dict:
-    """Write every report and `report.json`; `reports` maps a key to (title, frame).
+    """Write every report, the rows of all of them and `report.json`; `reports` maps a key to (title, frame).
 
-    Rows go from Spark to the files `<key>.csv` and `<key>.rows`, each folder holding one file. The
-    manifest repeats the rows of a report only up to `INLINE_ROWS`; a longer one is complete in its files,
-    so the driver never holds an unbounded result.
+    A report goes from Spark to `<key>.csv`, its rows as JSON lines to `rows/query=<key>`, whatever their number. The
+    driver sees the row counts only.
     """
     stamp = (generated_at or datetime.now(timezone.utc)).replace(tzinfo=None)
     manifest = {
         "generated_at": stamp.isoformat() + "Z",
         "analysis_window": {"start": start.isoformat(), "end": end.isoformat()},
+        "rows": f"{out}/rows",
         "queries": {},
     }
     for key, (title, df) in reports.items():
-        rows_path, csv_path = f"{out}/{key}.rows", f"{out}/{key}.csv"
+        csv_path = f"{out}/{key}.csv"
         df = df.persist()
         tracked, seen = counted(df, name=f"report_{key}")
         write_report_csv(tracked, csv_path)
-        _manifest_rows(df).coalesce(1).write.mode("overwrite").text(rows_path)
+        df.select(_row_json(df).alias("value")).write.mode("overwrite").text(f"{out}/rows/query={key}")
         df.unpersist()
-        count = seen.get["rows"]
-        entry = {
-            "title": title,
-            "csv_file": csv_path,
-            "rows_file": rows_path,
-            "columns": df.columns,
-            "row_count": count,
+        manifest["queries"][key] = {
+            "title": title, "csv_file": csv_path, "rows_file": f"{out}/rows/query={key}", "columns": df.columns,
+            "row_count": seen.get["rows"],
         }
-        if count <= INLINE_ROWS:
-            entry["rows"] = [json.loads(r["value"]) for r in spark.read.text(rows_path).limit(INLINE_ROWS).collect()]
-        manifest["queries"][key] = entry
     document = spark.createDataFrame([(json.dumps(manifest),)], "value string")
     document.coalesce(1).write.mode("overwrite").text(f"{out}/report.json")
     return manifest

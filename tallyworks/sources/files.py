@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallyworks import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Headed CSV of any size; Spark splits it, so there is no chunk loop.
 
-    Columns are matched by header name, so files may hold more columns or another order.
+    Columns are matched by header name, so files may hold more columns or another order. Files of one folder must
+    agree in their header; one that differs fails the read instead of swapping columns. `multi_line` accepts
+    quoted line breaks, at the price of files that are not split.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+    raw = reader.option("multiLine", multi_line).csv(path)
     present = {name.lower(): name for name in raw.columns}
     return raw.select(*[
         (F.col(f"`{present[field.name.lower()]}`") if field.name.lower() in present else F.lit(None))
@@ -45,19 +48,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def read_keyed(spark: SparkSession, path: str, **keys) -> DataFrame:
     """The rows of one key of a clustered table.
 
-    A key that is a folder column prunes folders; any other skips row groups by their min/max.
+    A key that is a folder column prunes folders; any other skips row groups by their min/max. A null key finds the
+    rows stored without one.
     """
     df = spark.read.parquet(path)
     for name, value in keys.items():
-        df = df.filter(F.col(name) == F.lit(value))
+        df = df.filter(F.col(name).eqNullSafe(F.lit(value)))
     return df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that yields fewer tasks than there are cores, and leave any other alone.
-
-    One unsplittable file would otherwise be parsed by one core. Only such small inputs are shuffled:
-    at most one split's worth of rows per core. Use it before costly row-wise work, on a bare scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from tallyworks.catalogue.queries import QUERIES
 from tallyworks.catalogue import queries as q
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = sorted(n for n in entry_point.queries() if not n.startswith(("stream_", "replay_")))
+NAMES = sorted(n for n in QUERIES if not n.startswith(("stream_", "replay_")))
 
 
 def plan_of(df):
@@ -17,7 +17,7 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_cross_join_no_python_and_no_unbounded_single_task_window(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert word not in plan
     # A window without keys may only run over the per-partition offsets of a sorted frame.
@@ -36,20 +36,20 @@ def test_filter_and_columns_reach_the_scan(spark):
 
 @pytest.mark.parametrize("name", ["q4_top_locations_by_revenue", "campaign_performance_by_day", "customer_stats"])
 def test_aggregates_are_partial_before_the_shuffle(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     before_shuffle = plan.split("Exchange hashpartitioning", 1)[1]
     assert "partial_" in before_shuffle
 
 
 @pytest.mark.parametrize("name", ["last_ads_per_user", "upsert_last_wins", "user_engagements", "wiki_page_creates"])
 def test_rows_per_key_are_limited_before_the_shuffle(spark, name):
-    assert "row_number(), 1, Partial" in (plan := plan_of(entry_point.queries()[name](spark, SF_DIR))) \
+    assert "row_number(), 1, Partial" in (plan := plan_of(QUERIES[name](spark, SF_DIR))) \
         or re.search(r"row_number\(\), \d+, Partial", plan)
 
 
 @pytest.mark.parametrize("name", ["q1_top_campaigns_by_ctr", "most_reviewed", "top_clickers_30d"])
 def test_top_n_needs_no_global_sort(spark, name):
-    assert "TakeOrderedAndProject" in plan_of(entry_point.queries()[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, SF_DIR))
 
 
 def test_month_range_reaches_the_rollup_scan(spark, tmp_path):

@@ -109,12 +109,57 @@ def test_run_report_writes_csv_and_manifest(spark, model, tmp_path):
     assert manifest["analysis_window"] == {"start": "2024-10-01", "end": "2024-10-31"}
     q3 = manifest["queries"]["q3_campaign_cpc_cpm"]
     assert q3["row_count"] == 3 and q3["columns"][:2] == ["campaign_name", "advertiser"]
-    assert q3["rows"][0] == {"campaign_name": "c2", "advertiser": "A", "impressions": 2, "clicks": 0,
-                             "total_cost": "8.05", "cpc": None, "cpm": 4025.0}
+    lines = [json.loads(r["value"]) for r in spark.read.text(q3["rows_file"]).collect()]
+    assert lines[0] == {"campaign_name": "c2", "advertiser": "A", "impressions": 2, "clicks": 0,
+                        "total_cost": "8.05", "cpc": None, "cpm": 4025.0} and len(lines) == 3
     stored = json.loads(spark.read.text(f"{out}/report.json").first()[0])
     assert stored == manifest and len(stored["queries"]) == 7
     back = spark.read.option("header", True).csv(f"{out}/q3_campaign_cpc_cpm.csv")
-    assert [r["campaign_name"] for r in back.collect()] == ["c2", "c1", "c3"]
+    assert sorted(r["campaign_name"] for r in back.collect()) == ["c1", "c2", "c3"]
+
+
+def test_manifest_rows_are_whole_for_any_report(spark, tmp_path):
+    many = spark.range(1_500).select(F.col("id").alias("campaign"), (F.col("id") / 7).alias("cpm"))
+    manifest = run_report(spark, {"many": ("Many campaigns", many)}, START, END, str(tmp_path / "r"))
+    assert manifest["queries"]["many"]["row_count"] == 1_500
+    assert spark.read.text(manifest["queries"]["many"]["rows_file"]).count() == 1_500
+
+
+def test_report_equals_the_single_queries(model):
+    frames = reports.campaign_report(**model, start=START, end=END, min_impressions=2)
+    single = {
+        "q1_top_campaigns_by_ctr": reports.q1_top_campaigns_by_ctr(
+            *pick(model, "events", "campaigns", "advertisers"), START, END, 2),
+        "q2_advertiser_spending": reports.q2_advertiser_spending(
+            *pick(model, "events", "campaigns", "advertisers"), START, END),
+        "q3_campaign_cpc_cpm": reports.q3_campaign_cpc_cpm(
+            *pick(model, "events", "campaigns", "advertisers"), START, END),
+        "q4_top_locations_by_revenue": reports.q4_top_locations_by_revenue(
+            *pick(model, "events", "locations"), START, END),
+        "q5_top_engaged_users": reports.q5_top_engaged_users(
+            *pick(model, "events", "users", "locations"), START, END),
+        "q6_near_budget_exhaustion": reports.q6_near_budget_exhaustion(
+            *pick(model, "events", "campaigns", "advertisers")),
+        "q7_ctr_by_device": reports.q7_ctr_by_device(*pick(model, "events", "devices"), START, END),
+    }
+    for key, df in single.items():
+        assert rows(frames[key][1]) == rows(df), key
+
+
+def test_engagement_counts_leave_out_unknown_campaigns(spark):
+    events = spark.createDataFrame([(1, 10), (1, None), (1, 77), (1, 11), (2, None)], "user_id int, campaign_id int")
+    campaigns = spark.createDataFrame([(10, 5), (11, 99)], "campaign_id int, advertiser_id int")
+    advertisers = spark.createDataFrame([(5, "A")], "advertiser_id int, name string")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "user_id int")
+    assert sorted(rows(lookups.user_engagement_counts(events, campaigns, advertisers, users))) == [(1, 1), (2, 0), (3, 0)]
+
+
+def test_one_advertiser_reads_only_its_events(model):
+    args = pick(model, "events", "campaigns", "advertisers")
+    plan = lookups.advertiser_spending(*args, advertiser_id=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    assert rows(lookups.advertiser_spending(*args, advertiser_id=1)) == [
+        r for r in rows(lookups.advertiser_spending(*args)) if r[0] == 1]
 
 
 def test_campaign_lookup_keeps_idle_campaigns(model):
@@ -132,7 +177,7 @@ def test_advertiser_lookup_keeps_zeros(model):
 
 
 def test_unknown_user_differs_from_user_without_events(model):
-    args = pick(model, "events", "users")
+    args = pick(model, "events", "campaigns", "advertisers", "users")
     assert rows(lookups.user_engagement_counts(*args, user_id=103)) == [(103, 0)]
     assert rows(lookups.user_engagement_counts(*args, user_id=999)) == []
     assert rows(lookups.user_engagement_counts(*args, user_id=100, n=1)) == [(100, 1)]

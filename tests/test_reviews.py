@@ -104,7 +104,8 @@ def test_queries_over_stats(spark):
         "product_id string, product_title string, total_reviews long, avg_star_rating double")
     assert [r["product_id"] for r in rr.highly_rated_products(stats).collect()] == ["p4", "p1"]
     best = rr.top_products_by_reviews(stats, 2).collect()
-    assert [(r["product_id"], len(r["product_title"])) for r in best] == [("p3", 1), ("p1", 50)]
+    assert [(r["product_id"], len(r["product_title"]), len(r["short_title"])) for r in best] == [
+        ("p3", 1, 1), ("p1", 60, 50)]
     customers = spark.createDataFrame([("u", 50), ("v", 51)], "customer_id string, total_verified_reviews long")
     assert rr.heavy_reviewer_count(customers).first()[0] == 1
 

@@ -170,6 +170,14 @@ def test_minute_rows(spark):
     ]
 
 
+def test_messages_without_a_minute_are_set_aside(spark):
+    bad = [('{"customer_id":"u","revi',), (tweet(customer_id="v", review_date="yesterday"),), ("  ",)]
+    raw = spark.createDataFrame(bad + [(tweet(customer_id="w", review_date="2024-05-01T10:00:01+00:00"),)], "value string")
+    assert [r["author_id"] for r in minutes.minute_rows(raw).collect()] == ["w"]
+    assert sorted(map(tuple, minutes.minute_quarantine(raw).collect())) == sorted(
+        [(bad[0][0], "not JSON"), (bad[1][0], "unreadable time")])
+
+
 def test_minute_files_append_with_one_header_each(spark, tmp_path):
     topic, out = tmp_path / "topic", str(tmp_path / "files")
 
