@@ -284,6 +284,9 @@ FROM users u LEFT JOIN (SELECT user_id FROM ae WHERE qty < 49) e ON e.user_id =
             ("ad_events.device_id", "ae", "device_id", "SELECT device_id FROM devices"),
             ("campaigns.advertiser_id", "campaigns", "advertiser_id", "SELECT advertiser_id FROM advertisers"),
             ("users.country_id", "users", "country_id", "SELECT country_id FROM locations"),
+            ("advertisers.country_id", "advertisers", "advertiser_id % 30", "SELECT country_id FROM locations"),
+            ("campaigns.slot_id", "campaigns", "campaign_id % 60",
+             "SELECT row_number() OVER (ORDER BY p_size) FROM (SELECT DISTINCT p_size FROM part)"),
             ("user_interests.user_id (solvent)", "interest_pairs", "user_id",
              "SELECT user_id FROM users WHERE c_acctbal >= 0"),
             ("user_interests.interest", "interest_pairs", "interest_name",
@@ -454,10 +457,6 @@ FROM events WHERE value >= 1 AND value < 2""",
     "slot_dimension": """
 SELECT row_number() OVER (ORDER BY width) AS slot_id, width, width * 2 AS height
 FROM (SELECT DISTINCT p_size AS width FROM part)""",
-    "publish_json": """
-SELECT '{"customer_id":"' || user_id || '","review_date":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-       || '","review_body":"' || replace(replace(props, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"}' AS value
-FROM events""",
     "variant_speedup": f"""
 SELECT label, shipped_mean, shipped_min, shipped_max, open_mean, open_min, open_max,
        {_ratio("shipped_units", "open_units", 100, 2)} AS speedup
@@ -483,7 +482,7 @@ SELECT event_type AS domain, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at,
 FROM events WHERE event_type IN ('click', 'view', 'purchase') AND user_id % 5 <> 0""",
     "wiki_page_creates": _PAGES,
     "stream_page_creates": _PAGES,
-    "replay_restamped": "SELECT COUNT(*) AS messages, COUNT(*) AS stamped FROM events",
+    "replay_restamped": "SELECT *, true AS stamped FROM events",
 }
 
 ORACLE: dict[str, str] = {
@@ -509,6 +508,13 @@ LEFT JOIN (SELECT o_orderpriority AS name, row_number() OVER (ORDER BY o_orderpr
            FROM (SELECT DISTINCT o_orderpriority FROM orders)) d ON d.name = device"""),
     "minute_buckets": _with(_TWEET_ROWS, body=_MINUTES),
     "minute_quarantine": _UNTIMED.strip(),
+    "publish_json": _with(_RV, body="""
+SELECT CAST(to_json(struct_pack(
+  review_id := review_id, product_id := product_id, customer_id := customer_id, marketplace := marketplace,
+  product_title := product_title, product_category := product_category, star_rating := star_rating,
+  helpful_votes := helpful_votes, total_votes := total_votes, vine := vine, verified_purchase := verified_purchase,
+  review_headline := review_headline, review_body := review_body, review_date := CAST(review_date AS VARCHAR)
+)) AS VARCHAR) AS value FROM rv"""),
 }
 # One entity of each look-up: the answer for all of them, cut to the one.
 ORACLE["campaign_performance_one"] = (

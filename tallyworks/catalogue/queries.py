@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyworks.catalogue import views as v
 from tallyworks.functions.calendar import months_touched
@@ -355,6 +355,10 @@ def fk_orphans(spark, d):
         ("ad_events.device_id", facts, "device_id", v.devices(spark, d), "device_id"),
         ("campaigns.advertiser_id", campaigns, "advertiser_id", advertisers, "advertiser_id"),
         ("users.country_id", users, "country_id", places, "country_id"),
+        ("advertisers.country_id", advertisers.select((F.col("advertiser_id") % 30).alias("country_id")), "country_id",
+         places, "country_id"),
+        ("campaigns.slot_id", campaigns.select((F.col("campaign_id") % 60).alias("slot_id")), "slot_id",
+         slot_dimension(spark, d), "slot_id"),
         ("user_interests.user_id (solvent)", pairs, "user_id", solvent, "user_id"),
         ("user_interests.interest", pairs, "interest_name", known, "interest_name"),
     ])
@@ -415,7 +419,8 @@ def json_intake_counts(spark, d):
 
 
 def publish_json(spark, d):
-    return messages(v.tweets(v.table(spark, d, "events")))
+    """Whole review rows as they go to a topic."""
+    return messages(v.reviews(spark, d))
 
 
 def variant_speedup(spark, d):
@@ -488,17 +493,18 @@ def stream_campaign_day_counters(spark, d):
 
 
 def replay_restamped(spark, d):
-    """Rows per topic after replaying all reviews' messages as a stream: all arrive, all stamped."""
+    """All web events replayed as a stream of whole-row messages and read back: every field, and whether a time of
+    sending stands beside them."""
     out = _scratch(spark, "replay")
-    schema = v.table(spark, d, "events").schema
+    schema = T.StructType(list(v.table(spark, d, "events").schema))
     live = replay(spark, f"{d}/events.parque[t]", schema, "sent_at", "parquet", files_per_trigger=4)
     query = (
-        messages(live.select("user_id", "props", "sent_at")).writeStream.format("text")
+        messages(plain_values(live)).writeStream.format("text")
         .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start(f"{out}/topic"))
     query.awaitTermination()
     sent = spark.read.text(f"{out}/topic")
-    stamp = F.try_to_timestamp(F.get_json_object("value", "$.sent_at"))
-    return sent.agg(F.count(F.lit(1)).alias("messages"), F.count(stamp).alias("stamped"))
+    back = sent.select(F.from_json("value", schema.add("sent_at", "string")).alias("e")).select("e.*")
+    return back.withColumn("stamped", F.try_to_timestamp("sent_at").isNotNull()).drop("sent_at")
 
 
 # Stored tables

@@ -47,7 +47,8 @@ def load_event_tables(spark: SparkSession, events_csv: str, out: str) -> dict:
 
 def load_review_tables(spark: SparkSession, reviews_csv: str, out: str) -> dict:
     """Reviews and their keyed, monthly and statistics tables. Returns the number of rows read and stored."""
-    raw = files.read_reviews(spark, reviews_csv)
+    replace_table(files.read_reviews(spark, reviews_csv), f"{out}/_raw_reviews")  # parsed once, read twice
+    raw = files.read_table(spark, f"{out}/_raw_reviews")
     counts = store_clean(raw, cleaning.clean_reviews, f"{out}/reviews")
     replace_table(cleaning.clean_verified_reviews(raw), f"{out}/verified_reviews")
     reviews = files.read_table(spark, f"{out}/reviews")

@@ -85,8 +85,11 @@ def user_interests(users: DataFrame, sep: str = ",", interests: DataFrame | None
 def normalise_model(events: DataFrame, campaigns: DataFrame, users: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
     """All tables of the model from the three cleaned files.
 
-    Dictionaries take every spelling that occurs in any of the files, so no name lacks an id.
+    Dictionaries take every spelling that occurs in any of the files, so no name lacks an id. Users that only the
+    events name are users too, with nothing else known of them.
     """
+    seen = events.select("user_id").where(F.col("user_id").isNotNull()).distinct().join(users, "user_id", "left_anti")
+    users = users.unionByName(seen, allowMissingColumns=True)
     place = events.select("location").unionByName(users.select("location"))
     locations = lookup_dimension(place, "location", "country_id", "country_name")
     names = events.select("advertiser_name").unionByName(campaigns.select("advertiser_name"))

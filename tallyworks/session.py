@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. Everything else is left to the cluster.
@@ -45,17 +43,10 @@ def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder: on a cluster a machine-local
-    path would vanish with its executor, so the setting is required there.
+    Where that is not set, a folder in the session's warehouse, which the executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="tallyworks-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyworks-shared"
 
 
 def enable_checkpoints(spark: SparkSession) -> None:

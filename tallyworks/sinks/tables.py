@@ -36,14 +36,17 @@ def write_clustered(
 
 
 def refresh_partitions(
-    df: DataFrame, path: str, part_cols: Sequence[str], sort_cols: Sequence[Column | str] = ()
+    df: DataFrame, path: str, part_cols: Sequence[str], sort_cols: Sequence[Column | str] = (),
+    touched: DataFrame | None = None,
 ) -> None:
     """Replace exactly the folders `df` has rows for and leave all others.
 
     This is the upsert of a recomputed rollup: a rerun for today overwrites today's folder and can be
-    repeated after a failure. `df` must not read `path`.
+    repeated after a failure. `df` must not read `path`. `touched` names folders (by `part_cols`) that were recomputed;
+    those that came back empty are removed. Without `sort_cols` rows are ranged on all columns, so a large folder
+    is written by many tasks.
     """
-    order = [*part_cols, *sort_cols]
+    order = [*part_cols, *(sort_cols or [c for c in df.columns if c not in part_cols])]
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -52,6 +55,23 @@ def refresh_partitions(
         .partitionBy(*part_cols)
         .parquet(path)
     )
+    if touched is not None:
+        _drop_empty(df, path, part_cols, touched)
+
+
+def _drop_empty(df: DataFrame, path: str, part_cols: Sequence[str], touched: DataFrame) -> None:
+    """Delete the touched folders that `df` has no row for; their number is that of the partitions of one batch."""
+    filled = df.select(*[F.col(c).alias(f"_{c}") for c in part_cols]).distinct()
+    wanted = touched.select(*part_cols).distinct()
+    same = F.lit(True)
+    for c in part_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    jvm, context = df.sparkSession._jvm, df.sparkSession.sparkContext
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in wanted.join(filled, same, "left_anti").toLocalIterator():
+        parts = [names.getPartitionPathString(c, None if row[c] is None else str(row[c])) for c in part_cols]
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *parts]))
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def counted(df: DataFrame, bad: Column | None = None, name: str = "written") -> tuple[DataFrame, Observation]:

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.functions import measures as m
 from tallyworks.functions.calendar import utc_date, utc_instant
-from tallyworks.streaming.keyed_table import BATCH, read_latest, stream_upsert
+from tallyworks.streaming.keyed_table import read_latest, stream_upsert
 
 COUNTER_KEY = ("campaign_name", "event_date")
 
@@ -40,4 +40,4 @@ def stream_daily_counters(
 
 
 def read_counters(spark: SparkSession, table: str) -> DataFrame:
-    return read_latest(spark, table, COUNTER_KEY, [BATCH])
+    return read_latest(spark, table, COUNTER_KEY)

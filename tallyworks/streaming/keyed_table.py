@@ -1,15 +1,16 @@
 """A keyed table fed by micro-batches.
 
 Every micro-batch writes only its own rows, into the folder of its run and batch number, so the cost of a
-batch does not grow with the table and a replayed batch replaces exactly what it wrote before. Reading
+batch does not grow with the table and a replayed batch replaces exactly what it wrote before. Runs are numbered in
+the order in which their checkpoints first appeared, so what arrives later counts, also under a new checkpoint. Reading
 takes the newest row of each key; `compact` stores that view.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,19 +20,32 @@ from tallyworks.sinks.tables import write_clustered
 RUN, BATCH = "run", "batch"
 
 
-def run_label(checkpoint: str) -> str:
-    """A short name of the checkpoint: batch numbers start again with a new checkpoint, so they need it."""
-    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The run a checkpoint stands for: known ones keep their number, a new one gets the next.
+
+    Batch numbers start again with a new checkpoint; the run number tells which came later. One small file per new run
+    lies beside the table.
+    """
+    name, registry = checkpoint.rstrip("/"), f"{path.rstrip('/')}_runs"
+    try:
+        known = {r["checkpoint"]: r["run"] for r in spark.read.schema("checkpoint string, run long").json(registry).collect()}
+    except AnalysisException:
+        known = {}
+    if name not in known:
+        known[name] = max(known.values(), default=0) + 1
+        spark.createDataFrame([(name, known[name])], "checkpoint string, run long").coalesce(1).write.mode(
+            "append").json(registry)
+    return known[name]
 
 
 def append_batch(
-    rows: DataFrame, path: str, run: str, batch: int, keys: Sequence[str], order: Sequence[Column]
+    rows: DataFrame, path: str, run: int, batch: int, keys: Sequence[str], order: Sequence[Column]
 ) -> None:
     """Store the newest row per key of one batch; ties fall to the greatest other columns."""
     rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in keys]
     newest = newest_per_key(rows, keys, [*order, *rest])
     (
-        newest.withColumn(RUN, F.lit(run)).withColumn(BATCH, F.lit(batch).cast("bigint"))
+        newest.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RUN, BATCH)
@@ -49,7 +63,7 @@ def stream_upsert(
     `split` may set rows aside (for example rows without a key), which go to `quarantine` under the same
     run and batch folders. Pass `availableNow=True` or `processingTime="30 minutes"` as trigger.
     """
-    run = run_label(checkpoint)
+    run = run_number(df.sparkSession, path, checkpoint)
     latest = [F.col(c).desc_nulls_last() for c in order]
 
     def write(batch_rows: DataFrame, batch: int) -> None:
@@ -61,7 +75,7 @@ def stream_upsert(
         append_batch(good, path, run, batch, keys, latest)
         if quarantine:
             (
-                bad.withColumn(RUN, F.lit(run)).withColumn(BATCH, F.lit(batch).cast("bigint"))
+                bad.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(RUN, BATCH).parquet(quarantine)
             )
@@ -72,17 +86,17 @@ def stream_upsert(
 
 
 def read_latest(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (BATCH,)
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (RUN, BATCH)
 ) -> DataFrame:
-    """The current rows. Filters on key columns reach the scan; `order` decides, highest first."""
+    """The current rows. Filters on key columns reach the scan; `order` decides, highest first: by default arrival."""
     rows = spark.read.parquet(path)
-    latest = [F.col(c).desc_nulls_last() for c in (*order, BATCH, RUN)]
+    latest = [F.col(c).desc_nulls_last() for c in dict.fromkeys((*order, RUN, BATCH))]
     return newest_per_key(rows, keys, latest).drop(RUN, BATCH)
 
 
 def compact(
     spark: SparkSession, path: str, out: str, keys: Sequence[str], sort_cols: Sequence[Column | str],
-    order: Sequence[str] = (BATCH,), part_cols: Sequence[str] = (),
+    order: Sequence[str] = (RUN, BATCH), part_cols: Sequence[str] = (),
 ) -> None:
     """Store the current rows, laid out for reading, at another path."""
     write_clustered(read_latest(spark, path, keys, order), out, part_cols, sort_cols)

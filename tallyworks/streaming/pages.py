@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.plans.pages import ALLOWED_DOMAINS, PAGE_KEY, filter_page_creates, page_creates
 from tallyworks.sinks.topics import messages
-from tallyworks.sources.intake import split_keyed
+from tallyworks.schemas import PAGE_CREATE
+from tallyworks.sources.intake import parse_events, split_keyed
 from tallyworks.sources.topics import read_topic
-from tallyworks.streaming.keyed_table import read_latest, stream_upsert
+from tallyworks.streaming.keyed_table import BATCH, RUN, read_latest, stream_upsert
 
 _NOW = {"availableNow": True}
 
@@ -42,6 +43,13 @@ def stream_filter(
     return stream_publish(filter_page_creates(input_messages, domains), processed, checkpoint, **trigger)
 
 
+def stream_malformed(input_messages: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Messages that are no JSON, with the reason, which the first hop leaves out."""
+    bad = parse_events(input_messages, PAGE_CREATE)[1]
+    writer = bad.writeStream.format("json").option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or _NOW)).start(folder)
+
+
 def stream_pages(
     processed_messages: DataFrame, table: str, checkpoint: str, quarantine: str | None = None, **trigger
 ) -> StreamingQuery:
@@ -53,7 +61,8 @@ def stream_pages(
 
 
 def read_pages(spark: SparkSession, table: str) -> DataFrame:
-    return read_latest(spark, table, PAGE_KEY, ["user_id"])
+    """The last write of every page; within a batch the highest user id."""
+    return read_latest(spark, table, PAGE_KEY, [RUN, BATCH, "user_id"])
 
 
 def run_chain(
@@ -61,10 +70,12 @@ def run_chain(
 ) -> DataFrame:
     """Run both hops over what is there now, each with its own checkpoint, and read the table.
 
+    Malformed messages go to `malformed`, rows without a full key to `quarantine`.
     Running it again with more input continues where the checkpoints left off.
     """
     processed, table = f"{root}/processed", f"{root}/page_creates"
     stream_filter(input_messages, processed, f"{root}/ckpt/filter", domains).awaitTermination()
+    stream_malformed(input_messages, f"{root}/malformed", f"{root}/ckpt/malformed").awaitTermination()
     stream_pages(
         read_topic(spark, processed), table, f"{root}/ckpt/pages", f"{root}/quarantine"
     ).awaitTermination()

@@ -175,19 +175,21 @@ def test_jdbc_read_is_split_by_key():
     assert seen["dbtable"] == "ad_events" and seen["user"] == "u"
 
 
-def test_checkpoints_need_a_shared_folder_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return default
+def test_shared_folder_is_the_one_set_or_in_the_warehouse(spark):
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
 
-    class Cluster:
-        conf = Conf()
+    assert session.shared_dir(Session(**{"spark.checkpoint.dir": "/shared/c"})) == "/shared/c"
+    assert session.shared_dir(Session(**{"spark.sql.warehouse.dir": "hdfs:/w/"})) == "hdfs:/w/tallyworks-shared"
 
-        class sparkContext:
-            master = "spark://somewhere:7077"
 
-    with pytest.raises(ValueError):
-        session.shared_dir(Cluster())
+def test_a_touched_partition_without_rows_is_removed(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "day int, n int"
+    tables.refresh_partitions(spark.createDataFrame([(1, 1), (2, 2), (3, 3)], schema), path, ["day"])
+    touched = spark.createDataFrame([(2,), (3,)], "day int")
+    tables.refresh_partitions(spark.createDataFrame([(3, 30)], schema), path, ["day"], touched=touched)
+    assert sorted((r["day"], r["n"]) for r in spark.read.parquet(path).collect()) == [(1, 1), (3, 30)]
 
 
 def test_cluster_sizes_grow_with_the_input():

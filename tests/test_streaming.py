@@ -79,9 +79,9 @@ def test_split_of_the_input_does_not_matter(spark, tmp_path):
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "k int, v int"
     for _ in range(2):
-        keyed_table.append_batch(spark.createDataFrame([(1, 1), (2, 2)], schema), path, "r", 0, ["k"], [F.desc("v")])
+        keyed_table.append_batch(spark.createDataFrame([(1, 1), (2, 2)], schema), path, 1, 0, ["k"], [F.desc("v")])
     assert spark.read.parquet(path).count() == 2
-    keyed_table.append_batch(spark.createDataFrame([(1, 5), (1, 4)], schema), path, "r", 1, ["k"], [F.desc("v")])
+    keyed_table.append_batch(spark.createDataFrame([(1, 5), (1, 4)], schema), path, 1, 1, ["k"], [F.desc("v")])
     assert sorted(map(tuple, keyed_table.read_latest(spark, path, ["k"]).collect())) == [(1, 5), (2, 2)]
     keyed_table.compact(spark, path, str(tmp_path / "c"), ["k"], ["k"])
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "c")).collect())) == [(1, 5), (2, 2)]
@@ -97,6 +97,25 @@ def test_new_checkpoint_does_not_overwrite_an_old_run(spark, tmp_path):
     assert [t for _, t, _ in table_rows(page_stream.read_pages(spark, table))] == ["t1", "t2"]
 
 
+def test_a_later_checkpoint_beats_the_batches_of_an_earlier_one(spark, tmp_path):
+    table, schema = str(tmp_path / "table"), "k int, v int"
+    first = keyed_table.run_number(spark, table, "ckpt/b")
+    for batch, value in enumerate((5, 6, 7)):
+        keyed_table.append_batch(spark.createDataFrame([(1, value)], schema), table, first, batch, ["k"], [F.desc("v")])
+    second = keyed_table.run_number(spark, table, "ckpt/a")
+    assert (first, second, keyed_table.run_number(spark, table, "ckpt/b/")) == (1, 2, 1)
+    keyed_table.append_batch(spark.createDataFrame([(1, 3)], schema), table, second, 0, ["k"], [F.desc("v")])
+    assert [tuple(r) for r in keyed_table.read_latest(spark, table, ["k"]).collect()] == [(1, 3)]
+
+
+def test_malformed_messages_of_the_first_hop_are_kept(spark, tmp_path):
+    topic = tmp_path / "input"
+    put(topic, "1.json", ['{"meta": {"dom', FIRST[0]])
+    page_stream.run_chain(spark, read_topic(spark, str(topic)), str(tmp_path / "run"))
+    assert [tuple(r) for r in spark.read.schema("value string, reason string").json(
+        str(tmp_path / "run" / "malformed")).collect()] == [('{"meta": {"dom', "not JSON")]
+
+
 def test_topic_from_an_instant_on(spark, tmp_path):
     topic = tmp_path / "topic"
     put(topic, "old.json", ["old"])
