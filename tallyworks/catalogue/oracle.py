@@ -523,3 +523,9 @@ ORACLE["advertiser_spending_one"] = (
     f"SELECT * FROM ({ORACLE['advertiser_spending']}) ORDER BY advertiser_name LIMIT 1")
 ORACLE["user_engagements_one"] = _with(_AE, _DIMS, body=_LOOKUPS["user_engagements"].replace(
     "JOIN users USING (user_id)", "JOIN users USING (user_id) WHERE user_id = 46 AND qty < 49"))
+ORACLE["csv_round_trip"] = ORACLE["reviews_clean"]
+ORACLE["stream_resumed_pages"] = ORACLE["stream_page_creates"]
+ORACLE["secondary_key_read"] = _with(_AE, body="""
+SELECT event_id, user_id, location, event_timestamp, ad_cost FROM ae WHERE location = 'NATION_3'""")
+ORACLE["stream_refreshed_rollup"] = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, COUNT(*) AS events FROM lineitem GROUP BY 1""".strip()

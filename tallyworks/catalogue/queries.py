@@ -23,10 +23,12 @@ from tallyworks.session import shared_dir
 from tallyworks.sinks.reports import report_counts, report_rows as all_rows
 from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
+from tallyworks.sources import files
 from tallyworks.sources.files import read_keyed
 from tallyworks.sources.intake import intake_counts, parse_events
 from tallyworks.streaming import counters, minutes
 from tallyworks.streaming.pages import run_chain
+from tallyworks.streaming.refresh import stream_refresh
 from tallyworks.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -564,6 +566,48 @@ def customer_reviews(spark, d):
     return rr.reviews_by_customer(v.reviews(spark, d), CUSTOMER)
 
 
+def csv_round_trip(spark, d):
+    """The raw reviews written as CSV, read back and cleaned."""
+    path = _scratch(spark, "csv")
+    v.raw_reviews(spark, d).write.option("header", True).option("escape", '"').csv(path)
+    return cleaning.clean_reviews(files.read_reviews(spark, path))
+
+
+def secondary_key_read(spark, d):
+    """Events stored in the order of their place and read back for one place."""
+    path = _scratch(spark, "places")
+    events = v.ad_events(spark, d, "event_id", "user_id", "location", "event_timestamp", "ad_cost")
+    write_clustered(events, path, sort_cols=["location", "event_id"])
+    return read_keyed(spark, path, location=PLACE)
+
+
+def stream_refreshed_rollup(spark, d):
+    """The yearly rollup, recomputed from the stored events for the years that arriving lines touch."""
+    out = _scratch(spark, "refresh")
+    events = v.ad_events(spark, d, "event_id", "event_timestamp").withColumn("year", F.year("event_timestamp"))
+
+    def touched(batch):
+        return batch.select(F.year("l_shipdate").alias("year")).distinct()
+
+    def recompute(batch):
+        return events.join(touched(batch), "year", "left_semi").groupBy("year").agg(F.count("event_id").alias("events"))
+
+    stream_refresh(_stream(spark, d, "lineitem"), recompute, f"{out}/table", f"{out}/ckpt", ["year"], every=None,
+                   touched=touched).awaitTermination()
+    return spark.read.parquet(f"{out}/table")
+
+
+def stream_resumed_pages(spark, d):
+    """The page table of a chain that is stopped after half of the input and resumed when the rest has come."""
+    root = _scratch(spark, "resumed")
+    events = v.table(spark, d, "events")
+    for half in (0, 1):
+        events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/inbox")
+        source = v.page_messages(spark.readStream.schema(events.schema).parquet(f"{root}/inbox"))
+        table = run_chain(spark, source, root, v.WEB_DOMAINS)
+    return _as_wall_clock(table)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -584,7 +628,8 @@ QUERIES: dict[str, Query] = {
         months_in_range, wiki_filtered, wiki_page_creates, stream_page_creates, minute_buckets, minute_quarantine,
         campaign_day_counters, stream_campaign_day_counters, replay_restamped,
         keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
-        product_reviews_rated, customer_reviews,
+        product_reviews_rated, customer_reviews, csv_round_trip, secondary_key_read, stream_refreshed_rollup,
+        stream_resumed_pages,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys
