@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -19,7 +18,7 @@ from tallyworks.operators.surrogates import attach_ids, lookup_dimension
 from tallyworks.plans import cleaning, comparison, event_rollups as er, jobs, lookups, normalise, pages, reports
 from tallyworks.plans import review_rollups as rr
 from tallyworks.schemas import PAGE_CREATE
-from tallyworks.session import shared_dir
+from tallyworks.session import scratch_path
 from tallyworks.sinks.reports import report_counts, report_rows as all_rows
 from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
@@ -46,7 +45,7 @@ HEAVY = 25
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared space."""
-    return f"{shared_dir(spark)}/tallyworks/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
+
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. Everything else is left to the cluster.
@@ -49,6 +54,28 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyworks-shared"
 
 
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for an intermediate table; it is removed when this program ends."""
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append(f"{shared_dir(spark)}/tallyworks/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def _remove_scratch() -> None:
+    if SparkContext._gateway is None:
+        return
+    jvm = SparkContext._gateway.jvm
+    with contextlib.suppress(Exception):  # the session's Java side may be gone already
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        for path in _SCRATCH:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint()` usable, keeping a folder that is already set."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyworks-tests-"),
     })
     session.sparkContext.setLogLevel("ERROR")
     enable_checkpoints(session)
