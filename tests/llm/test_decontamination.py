@@ -80,6 +80,18 @@ def test_a_passage_that_most_texts_hold_is_still_found(spark):
     assert {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, items).collect()} == {(k, 0) for k in range(200)}
 
 
+def test_an_edited_copy_in_many_rows_is_found_in_each(spark):
+    ship_package(spark)
+    item = edge.words(60, 24)
+    copy = " ".join(f"new{k}" if k % 6 == 5 else w for k, w in enumerate(item.split()))
+    items = spark.createDataFrame([(0, item)], "item_id long, text string")
+    assert smith_waterman(split(copy), split(item)) >= dc.MIN_SCORE * len(split(item))
+    for n in (9, 200, 2000):
+        docs = spark.createDataFrame([(k, f"{copy} {edge.words(4000 + k, 20)}") for k in range(n)] +
+                                     [(n + k, edge.words(9000 + k, 40)) for k in range(9)], "doc_id long, text string")
+        assert sorted(r.doc_id for r in dc.find_leaks(docs, items).collect()) == list(range(n))
+
+
 def test_empty_tables(spark):
     ship_package(spark)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
