@@ -4,7 +4,8 @@ Every text becomes a vector of five transformed statistics. Per group the MCD es
 (medians with quartile scales; means with standard deviations) by concentration steps: distances under the
 current estimate, the share `SUPPORT` of rows with the smallest ones, their mean and covariance. A step never raises
 the determinant; of the two starts the one with the smaller determinant wins. A row is rejected when its squared
-Mahalanobis distance to the estimate of its group exceeds `CUTOFF` and it lies on the bad side.
+Mahalanobis distance to the estimate of its group exceeds the quantile of `CUTOFF_CHANCE`; deviations to the good side count
+as none.
 
 Groups of fewer than `MIN_ROWS` rows take the estimate of their language, languages that small the one of all
 rows. Order statistics are exact on a fixed grid: values are counted per grid cell before the shuffle, so a group with a
@@ -33,10 +34,10 @@ STEPS = 4
 MIN_ROWS = 200
 CUTOFF_CHANCE = 1e-6   # of a row of the model distribution beyond the cutoff
 GRID = 64.0            # cells per unit of a transformed statistic
-BAD_SHARE, BAD_SHIFT = 0.3, 0.5  # how far a statistic must lie on the bad side of its group's mean
 RIDGE = 0.04           # spread added to every statistic, in its transformed unit
 
 STATS = ("word_length", "symbols", "dup_lines", "repeats", "distinct")
+_BAD_SIDE = {"symbols": 1, "dup_lines": 1, "repeats": 1, "distinct": -1}  # words may be too short and too long
 _D = len(STATS)
 
 
@@ -156,11 +157,13 @@ def _estimate_columns() -> list[str]:
     return [f"m{k}" for k in range(_D)] + [f"l{i}{j}" for i in range(_D) for j in range(i + 1)]
 
 
-def distance(prefix: str = "") -> Column:
+def distance(prefix: str = "", bad_side_only: bool = False) -> Column:
     """Squared Mahalanobis distance of a row under the estimate beside it, by forward substitution."""
     solved: list[Column] = []
     for i, name in enumerate(STATS):
         rest = F.col(name) - F.col(f"{prefix}m{i}")
+        if bad_side_only and name in _BAD_SIDE:
+            rest = (F.greatest if _BAD_SIDE[name] > 0 else F.least)(rest, F.lit(0.0))
         for k in range(i):
             rest = rest - F.col(f"{prefix}l{i}{k}") * solved[k]
         solved.append(rest / F.col(f"{prefix}l{i}{i}"))
@@ -206,8 +209,8 @@ def judge(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     `row` holds the named columns of the text (all by default), so their names may be anything; outlier_distance is
     null if the base rules failed. A row picks the estimate of the smallest level with MIN_ROWS rows. Only the bad side
-    is rejected: symbols, repeated lines or repeated windows above the group's mean, fewer distinct words, or
-    words of another length.
+    counts in the distance: symbols, repeated lines or repeated windows above the group's mean, fewer distinct words,
+    or words of another length.
     """
     rows = docs.select(
         F.struct(*(docs.columns if columns is None else columns)).alias("row"), F.col("text").alias("_raw"),
@@ -241,14 +244,11 @@ def _verdicts(stored: DataFrame) -> DataFrame:
               .join(lang, stored["lang"].eqNullSafe(lang["b_lang"]), "left")
               .withColumn("_e", F.coalesce(F.col("a_e"), F.col("b_e"), whole))
               .select(*stored.columns, *[F.col(f"_e.{f}").alias(f"_{f}") for f in fields]))
-    mean = {name: F.col(f"_m{k}") for k, name in enumerate(STATS)}
-    off = {name: F.col(name) - mean[name] for name in STATS}
-    bad_side = ((off["symbols"] > BAD_SHARE) | (off["dup_lines"] > BAD_SHARE) | (off["repeats"] > BAD_SHARE)
-                | (off["distinct"] < -BAD_SHIFT) | (F.abs(off["word_length"]) > BAD_SHIFT))
-    outlier = F.coalesce((distance("_") > chi2_quantile(1 - CUTOFF_CHANCE, _D)) & bad_side, F.lit(False))
+    judged = judged.withColumn("_far", distance("_", bad_side_only=True))
+    outlier = F.coalesce(F.col("_far") > chi2_quantile(1 - CUTOFF_CHANCE, _D), F.lit(False))
     return judged.select(
         *[c for c in stored.columns if c not in STATS],
-        F.when(~F.col("base_failed"), distance("_")).alias("outlier_distance"),
+        F.when(~F.col("base_failed"), F.col("_far")).alias("outlier_distance"),
         (~F.col("base_failed") & ~outlier).alias("kept"))
 
 

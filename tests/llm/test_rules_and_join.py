@@ -60,6 +60,21 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert not re.search("Python|Pandas|InArrow", plan)
 
 
+def test_a_row_that_is_an_outlier_only_in_combination_goes(spark):
+    """1 of 5 lines repeated and some repeated windows: no statistic is 0.3 off, the vector is."""
+    clean = [(k, prose(k), "en", "s0") for k in range(600)]
+    line = edge.words(9001, 8)
+    bad = "\n".join([line, *(edge.words(9010 + k, 16) for k in range(3)), line])
+    plain = "\n".join(edge.words(9020 + k, 16) for k in range(5))
+    docs = spark.createDataFrame([*clean, (1000, bad, "en", "s0"), (1001, plain, "en", "s0")],
+                                 "doc_id long, text string, lang string, source string")
+    judged = {r.row.doc_id: r for r in qr.judge(docs).collect()}
+    assert not judged[1000].base_failed and not judged[1000].kept and judged[1001].kept
+    cut = qr.chi2_quantile(1 - qr.CUTOFF_CHANCE, 5)
+    assert all(r.kept == (r.outlier_distance <= cut) for r in judged.values() if not r.base_failed)
+    assert judged[1000].n_dup_lines == 1 and judged[1000].n_repeat_words < 0.3 * judged[1000].n_words
+
+
 def test_estimates_equal_numpy_concentration(spark):
     rng = np.random.default_rng(1)
     x = np.round(np.vstack([rng.normal(0, 0.3, (900, 5)) @ (np.eye(5) + 0.3), rng.normal(3, 0.2, (100, 5))]) * 1024) / 1024
