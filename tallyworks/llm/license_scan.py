@@ -3,8 +3,9 @@
 The hash of every run of `k` words of every text is joined to the positions of the same run in the licence
 templates. A match at text position p and template position t votes for the diagonal p - t; votes are summed per
 diagonal before the shuffle, so a text that repeats a notice is a few rows. Diagonals a few words apart (words
-put in or left out) are merged, and a merged diagonal with enough votes is verified: the words of its span are compared
-with the whole template by edit distance.
+put in or left out) are merged, and a merged diagonal with enough votes is verified: the words of its span, and those of
+the spans of its parts, are compared with the whole template by edit distance, and the nearest counts. So a stray run
+beside a notice, as its own name is, does not widen the notice.
 
 The templates are a fixed list, so the joined table of their word runs is bounded whatever the corpus. A text meets its
 candidates again by a hash of the whole row, so equal ids do not mix texts.
@@ -48,6 +49,15 @@ def _runs(words: Column, k: int) -> Column:
         lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)])))
 
 
+def _parts(diagonals: Column, size: Column) -> Column:
+    """(low, high) of a band and of all its runs of diagonals at most a template apart."""
+    runs = F.transform(diagonals, lambda low, i: F.transform(
+        F.filter(F.slice(diagonals, i + 1, size + 1), lambda high: high - low <= size),
+        lambda high: F.struct(low.alias("low"), high.alias("high"))))
+    whole = F.struct(F.array_min(diagonals).alias("low"), F.array_max(diagonals).alias("high"))
+    return F.array_distinct(F.concat(F.array(whole), F.flatten(runs)))
+
+
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     """(template, label, t_words, t_text) of the templates, cut like the texts."""
     rows = [(name, label, w, " ".join(w)) for name, label, text in templates
@@ -72,21 +82,31 @@ def find_spans(docs: DataFrame, templates: DataFrame, k: int = K, min_votes: flo
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > MERGE_GAP, F.lit(False)).cast("int")
     bands = (votes.withColumn("apart", apart).withColumn("band", F.sum("apart").over(order))
              .groupBy("row", "template", "t_size", "band")
-             .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+             .agg(F.sum("votes").alias("votes"), F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
              .where(F.col("votes") >= F.greatest(F.lit(1), min_votes * (F.col("t_size") - (k - 1))))
-             .groupBy("row").agg(F.collect_list(F.struct("template", "votes", "low", "high")).alias("bands")))
+             .groupBy("row").agg(F.collect_list(F.struct("template", "votes", "band", _parts(F.col("diagonals"), F.col("t_size"))
+                                                          .alias("parts"))).alias("bands")))
     candidates = staged(bands, "licence-bands")
 
-    begin = F.greatest(F.lit(0), F.col("band.low"))
-    end = F.least(F.size("_words"), F.col("band.high") + F.size("t_words"))
+    begin = F.greatest(F.lit(0), F.col("part.low"))
+    end = F.least(F.size("_words"), F.col("part.high") + F.size("t_words"))
     span = F.array_join(F.slice("_words", begin + 1, F.greatest(end - begin, F.lit(0))), " ")
-    similarity = 1 - F.levenshtein(span, F.col("t_text")) / F.greatest(F.length(span), F.length("t_text"))
     once = docs.join(candidates, "row").dropDuplicates(["row"])
-    verified = (once.select("row", words_of(F.col("text")).alias("_words"), F.explode("bands").alias("band"))
-                .join(F.broadcast(templates), F.col("band.template") == F.col("template"))
-                .select("row", "template", "label", begin.alias("first_word"), end.alias("end_word"),
-                        F.col("band.votes").alias("votes"), similarity.alias("similarity"))
-                .where(F.col("similarity") >= min_similarity))
+    spans = (once.select("row", words_of(F.col("text")).alias("_words"), F.explode("bands").alias("band"))
+             .join(F.broadcast(templates), F.col("band.template") == F.col("template"))
+             .select("row", "template", "label", "band", "_words", "t_words", "t_text", F.explode("band.parts").alias("part"))
+             .select("row", "template", "label", F.col("band.band").alias("band"), begin.alias("first_word"),
+                     end.alias("end_word"), F.col("band.votes").alias("votes"), "t_text", span.alias("span")))
+    shorter, longer = (f(F.length("span"), F.length("t_text")) for f in (F.least, F.greatest))
+    # The difference in length is a bound of the distance.
+    similarity = F.when(shorter >= min_similarity * longer, 1 - F.levenshtein("span", "t_text") / longer)
+    verified = (spans.select("row", "template", "label", "band", "first_word", "end_word", "votes",
+                             similarity.alias("similarity"))
+                .where(F.col("similarity") >= min_similarity)
+                .groupBy("row", "template", "label", "band")
+                .agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("back"), "end_word", "votes")).alias("best"))
+                .select("row", "template", "label", (-F.col("best.back")).alias("first_word"), "best.end_word",
+                        "best.votes", "best.similarity"))
     # Notices that differ in a word match one place; the nearest counts.
     nearest = F.max("similarity").over(Window.partitionBy("row", "first_word"))
     return verified.withColumn("nearest", nearest).where(F.col("similarity") == F.col("nearest")).drop("nearest")

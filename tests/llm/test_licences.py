@@ -62,5 +62,16 @@ def test_spans(spark):
     assert spans[8].first_word == 0 and 0.8 <= spans[8].similarity < 1
 
 
+def test_a_stray_run_beside_an_exact_notice_does_not_hide_it(spark):
+    templates = spark.createDataFrame([("short", "mit", split("Released under the MIT License"), "released under the mit license")],
+                                      "template string, label string, t_words array<string>, t_text string")
+    docs = spark.createDataFrame([(1, "Released under the MIT License. The MIT License permits anything"),
+                                  (2, "The MIT License: released under the MIT License"),
+                                  (3, "the MIT License is what it says")], "row long, text string")
+    spans = {s.row: s for s in ls.find_spans(docs, templates).collect()}
+    assert set(spans) == {1, 2}
+    assert [(spans[k].first_word, spans[k].end_word, spans[k].similarity) for k in (1, 2)] == [(0, 5, 1.0), (3, 8, 1.0)]
+
+
 def test_empty_table(spark):
     assert ls.scan(edge.no_documents(spark)).collect() == []
