@@ -24,8 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyworks.llm.staging import staged
 from tallyworks.llm.textgrid import grams, ragged, text_blocks, words
 
 NGRAM = 4
@@ -211,12 +212,17 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[float, int, int]:
     return (float(best[at]), int(first[at]), at) if best[at] > 0 else (0.0, 0, 0)
 
 
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, min_score: float = MIN_SCORE) -> DataFrame:
-    """(doc_id, item_id, score, places, first_word, end_word): benchmark items in training texts, each pair once
-    per training row, with its best place.
+    """(doc_id, item_id, score, places, first_word, end_word, row): benchmark items in training texts, each pair once
+    per training row, with its best place. `row` is the hash of the row's id and text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        _row_key().alias("row"))
     total = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
     found = None
@@ -225,14 +231,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, min_score:
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toArrow()
         index = Items(block.column(0).to_pylist(), block.column(1), n, min_score)
         part = texts.mapInArrow(_aligned(index), "doc_id long, item_id long, score double, places long, "
-                                                 "first_word long, end_word long")
+                                                 "first_word long, end_word long, row long")
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def _aligned(index: Items):
-    names = ["doc_id", "item_id", "score", "places", "first_word", "end_word"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["doc_id", "item_id", "score", "places", "first_word", "end_word", "row"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not index.ids:
@@ -245,7 +251,8 @@ def _aligned(index: Items):
                     best = _best_place(hashes[begin[t]:begin[t + 1]],
                                        index.hashes[index.begin[item]:index.begin[item + 1]], places, index.min_score)
                     if best:
-                        rows.append((batch.column(0)[first + t].as_py(), index.ids[item], *best))
+                        doc_id, row = (batch.column(c)[first + t].as_py() for c in (0, 2))
+                        rows.append((doc_id, index.ids[item], *best, row))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
@@ -269,6 +276,6 @@ def _best_place(text: np.ndarray, item: np.ndarray, places: list[tuple[int, int]
 
 
 def drop_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """`docs` without those that hold a benchmark item."""
-    found = leaks.select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaking_id"]), "left_anti")
+    """`docs` without the rows that hold a benchmark item; other rows of a leaking row's id, null or not, stay."""
+    found = staged(leaks.select(F.col("row").alias("leaking_row")).distinct(), "leaking-rows")
+    return docs.join(found, _row_key() == F.col("leaking_row"), "left_anti")

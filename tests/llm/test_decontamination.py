@@ -92,6 +92,16 @@ def test_an_edited_copy_in_many_rows_is_found_in_each(spark):
         assert sorted(r.doc_id for r in dc.find_leaks(docs, items).collect()) == list(range(n))
 
 
+def test_clean_rows_that_share_the_id_of_a_leak_stay(spark):
+    ship_package(spark)
+    leak, clean = f"{edge.words(41, 20)} {ITEMS[1][1]}", [edge.words(42 + k, 50) for k in range(4)]
+    docs = spark.createDataFrame([(None, leak), (None, clean[0]), (None, None), (5, leak), (5, clean[1]), (6, clean[2])],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS[:6], "item_id long, text string")
+    kept = dc.drop_leaks(docs, dc.find_leaks(docs, items)).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, docs.where(~docs.text.eqNullSafe(leak)).collect()))
+
+
 def test_empty_tables(spark):
     ship_package(spark)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
