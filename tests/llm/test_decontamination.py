@@ -92,6 +92,27 @@ def test_an_edited_copy_in_many_rows_is_found_in_each(spark):
         assert sorted(r.doc_id for r in dc.find_leaks(docs, items).collect()) == list(range(n))
 
 
+def test_copies_without_untouched_runs_are_found_like_by_plain_alignment(spark):
+    ship_package(spark)
+    rng, items, texts = random.Random(8), [], []
+    for size in (15, 17, 20):
+        for share in (0.2, 0.3, 0.4):
+            for seed in range(20):
+                item = " ".join(edge.words(rng.randint(0, 10 ** 9), size).split())
+                items.append((len(items), item))
+                texts.append((len(texts), f"{edge.words(seed, 12)} {edited(item, share, seed)} {edge.words(seed + 50, 12)}"))
+    # Every 4th word replaced, and another word behind each word.
+    item = edge.words(77, 20)
+    items += [(1000, item), (1001, edge.words(78, 20))]
+    texts += [(1000, " ".join("new" if k % 4 == 3 else w for k, w in enumerate(item.split()))),
+              (1001, " ".join(f"{w} more" for w in edge.words(78, 20).split()))]
+    want = {(d, i) for d, t in texts for i, x in items if d == i and smith_waterman(split(t), split(x)) >= dc.MIN_SCORE * len(split(x))}
+    found = dc.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(1000, 1000), (1001, 1001)} <= want
+    assert want == {(r.doc_id, r.item_id) for r in found if r.doc_id == r.item_id}
+
+
 def test_clean_rows_that_share_the_id_of_a_leak_stay(spark):
     ship_package(spark)
     leak, clean = f"{edge.words(41, 20)} {ITEMS[1][1]}", [edge.words(42 + k, 50) for k in range(4)]
