@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 SUPPORT = 0.75
 STEPS = 4
-MIN_ROWS = 200
+MIN_ROWS = 25          # five to a dimension; the ridge guards estimates of few rows
 CUTOFF_CHANCE = 1e-6   # of a row of the model distribution beyond the cutoff
 GRID = 64.0            # cells per unit of a transformed statistic
 RIDGE = 0.04           # spread added to every statistic, in its transformed unit

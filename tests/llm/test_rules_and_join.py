@@ -75,6 +75,14 @@ def test_a_row_that_is_an_outlier_only_in_combination_goes(spark):
     assert judged[1000].n_dup_lines == 1 and judged[1000].n_repeat_words < 0.3 * judged[1000].n_words
 
 
+def test_a_small_group_is_judged_by_its_own_estimate(spark):
+    rows = [(k, prose(k), "en", "s0") for k in range(600)]
+    rows += [(1000 + k, " ".join(w * 3 for w in prose(k).split()), "en", "s1") for k in range(60)]
+    kept = {r.doc_id for r in qr.keep_good(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len([i for i in kept if i >= 1000]) >= 57
+
+
 def test_estimates_equal_numpy_concentration(spark):
     rng = np.random.default_rng(1)
     x = np.round(np.vstack([rng.normal(0, 0.3, (900, 5)) @ (np.eye(5) + 0.3), rng.normal(3, 0.2, (100, 5))]) * 1024) / 1024
