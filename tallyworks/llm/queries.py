@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, chosen_path, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
-from tallyworks.llm.staging import fresh_path, table
+from tallyworks.llm import bitplanes, chat_format, chosen_path, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
+from tallyworks.llm.oracle import ORACLE
+from tallyworks.llm.staging import fresh_path, staged, table
 
 
 def op1_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
@@ -61,6 +62,15 @@ def op10_diagonal_votes(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.scan(table(spark, d, "documents"))
 
 
+def op11_role_machine(spark: SparkSession, d: str) -> DataFrame:
+    chats = chat_format.with_probe(table(spark, d, "conversations"))
+    written = staged(chat_format.segments(chats), "chat-segments")
+    verdict = chat_format.validate(chats).withColumnRenamed("conv_id", "id")
+    read = chat_format.digests(chat_format.read_back(written))
+    return (read.join(verdict, F.col("conv_id").eqNullSafe(F.col("id")))
+            .select(*read.columns, "faults", (F.col("complete") & (F.col("faults") == 0)).alias("valid")))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_chosen_path": op2_chosen_path,
@@ -72,6 +82,7 @@ QUERIES = {
     "op8_seeded_alignment": op8_seeded_alignment,
     "op9_lexicon_automaton": op9_lexicon_automaton,
     "op10_diagonal_votes": op10_diagonal_votes,
+    "op11_role_machine": op11_role_machine,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
