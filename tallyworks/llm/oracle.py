@@ -37,4 +37,43 @@ FROM safe JOIN (
 GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op11_role_machine": OP11}
+OP12 = r"""
+WITH words AS (
+    SELECT rowid_ AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), sizes AS (
+    SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+    SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), totals AS (
+    SELECT lang, source, coalesce(sum(c.n), 0) + 2 * any_value(v) AS total
+    FROM groups JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source) GROUP BY lang, source
+), shares AS (
+    SELECT lang, source, term, coalesce(c.n, 0) AS n,
+           1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // total::HUGEINT AS p
+    FROM totals JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), base AS (
+    SELECT k.lang, term, 1 + 1000000000::HUGEINT * (k.n + 2) // (s.n + 2 * s.v)::HUGEINT AS q FROM kept k JOIN sizes s USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    UNION ALL
+    SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    WHERE a.lang NOT IN (SELECT lang FROM sizes)
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+    FROM shares JOIN base USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op11_role_machine": OP11, "op12_term_divergence": OP12}

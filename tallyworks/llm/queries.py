@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, chat_format, chosen_path, decontamination, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, chat_format, chosen_path, decontamination, divergence, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
 from tallyworks.llm.oracle import ORACLE
 from tallyworks.llm.staging import fresh_path, staged, table
 
@@ -71,6 +71,10 @@ def op11_role_machine(spark: SparkSession, d: str) -> DataFrame:
             .select(*read.columns, "faults", (F.col("complete") & (F.col("faults") == 0)).alias("valid")))
 
 
+def op12_term_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_chosen_path": op2_chosen_path,
@@ -83,6 +87,7 @@ QUERIES = {
     "op9_lexicon_automaton": op9_lexicon_automaton,
     "op10_diagonal_votes": op10_diagonal_votes,
     "op11_role_machine": op11_role_machine,
+    "op12_term_divergence": op12_term_divergence,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
