@@ -76,4 +76,65 @@ WITH words AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op11_role_machine": OP11, "op12_term_divergence": OP12}
+OP13 = r"""
+WITH RECURSIVE rows_ AS (
+    SELECT *, coalesce(octet_length(encode(text)) || ':' || text, '-') AS text_field FROM documents
+), marked AS (
+    SELECT *,
+           -- CRC-32 of the decimal id, bit by bit: a byte is mixed in, then shifted out in eight steps (-1)
+           xor(list_reduce([4294967295] || flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+               lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x)
+                                   WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END), 4294967295) AS crc
+    FROM rows_
+), leaves AS (
+    SELECT doc_id, lang, coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS name,
+           sha256(head || n_chars_field || text_field) AS leaf,
+           CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN sha256(head || changed_field || text_field) END AS tampered
+    FROM (SELECT *, coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-')
+                    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+                 coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') AS n_chars_field,
+                 length((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) AS changed_field
+          FROM marked)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf, tampered NULLS FIRST) - 1 AS rank,
+           count(*) OVER (PARTITION BY name) AS size FROM leaves
+), tree AS (
+    SELECT name, 0 AS level, rank, size, leaf AS node FROM ranked
+    UNION ALL
+    SELECT name, level + 1, rank // 2, (max(size) + 1) // 2, sha256(string_agg(node, '' ORDER BY rank))
+    FROM tree WHERE size > 1 GROUP BY name, level, rank // 2
+), subroots AS (
+    SELECT name, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank, count(*) OVER () AS size
+    FROM tree JOIN (SELECT DISTINCT name, lang FROM leaves) USING (name) WHERE size = 1
+), crown AS (
+    SELECT 0 AS level, rank, size, subroot AS node FROM subroots
+    UNION ALL
+    SELECT level + 1, rank // 2, (max(size) + 1) // 2, sha256(string_agg(node, '' ORDER BY rank))
+    FROM crown WHERE size > 1 GROUP BY level, rank // 2
+), steps AS (
+    SELECT own.name, own.rank, own.level,
+           CASE WHEN other.node IS NULL THEN 'A' WHEN other.rank < own.rank_ THEN 'L' || other.node ELSE 'R' || other.node END AS step
+    FROM (SELECT r.name, r.rank, t.level, r.rank >> t.level AS rank_ FROM ranked r
+          JOIN (SELECT DISTINCT name, level FROM tree WHERE size > 1) t USING (name)) own
+    LEFT JOIN tree other ON other.name = own.name AND other.level = own.level AND other.rank = xor(own.rank_, 1::BIGINT)
+), last_steps AS (
+    SELECT own.name, own.level,
+           CASE WHEN other.node IS NULL THEN 'A' WHEN other.rank < own.rank_ THEN 'L' || other.node ELSE 'R' || other.node END AS step
+    FROM (SELECT s.name, c.level, s.rank >> c.level AS rank_ FROM subroots s, (SELECT DISTINCT level FROM crown WHERE size > 1) c) own
+    LEFT JOIN crown other ON other.level = own.level AND other.rank = xor(own.rank_, 1::BIGINT)
+), proofs AS (
+    SELECT r.doc_id, r.leaf, r.tampered, s.subroot, c.node AS root,
+           coalesce((SELECT list(step ORDER BY level) FROM steps p WHERE p.name = r.name AND p.rank = r.rank), [])
+           || coalesce((SELECT list(step ORDER BY level) FROM last_steps p WHERE p.name = r.name), []) AS path
+    FROM ranked r JOIN subroots s USING (name) JOIN crown c ON c.size = 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: substr(x, 2)), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM (SELECT *, list_reduce([coalesce(tampered, leaf)] || path,
+                            lambda acc, x: sha256(CASE WHEN x[1] = 'L' THEN substr(x, 2) || acc ELSE acc || substr(x, 2) END))
+             AS folded_root FROM proofs)
+"""
+
+ORACLE: dict[str, str] = {"op11_role_machine": OP11, "op12_term_divergence": OP12, "op13_merkle_manifest": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyworks.llm import bitplanes, chat_format, chosen_path, decontamination, divergence, license_scan, mil, packing, quality_rules, toxicity, unigram, warc
+from tallyworks.llm import bitplanes, chat_format, chosen_path, decontamination, divergence, license_scan, merkle, mil, packing, quality_rules, toxicity, unigram, warc
 from tallyworks.llm.oracle import ORACLE
 from tallyworks.llm.staging import fresh_path, staged, table
 
@@ -75,6 +75,10 @@ def op12_term_divergence(spark: SparkSession, d: str) -> DataFrame:
     return divergence.audit(table(spark, d, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.verified(merkle.manifest(table(spark, d, "documents")))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_chosen_path": op2_chosen_path,
@@ -88,6 +92,7 @@ QUERIES = {
     "op10_diagonal_votes": op10_diagonal_votes,
     "op11_role_machine": op11_role_machine,
     "op12_term_divergence": op12_term_divergence,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
