@@ -525,6 +525,18 @@ ORACLE["user_engagements_one"] = _with(_AE, _DIMS, body=_LOOKUPS["user_engagemen
     "JOIN users USING (user_id)", "JOIN users USING (user_id) WHERE user_id = 46 AND qty < 49"))
 ORACLE["csv_round_trip"] = ORACLE["reviews_clean"]
 ORACLE["stream_resumed_pages"] = ORACLE["stream_page_creates"]
+ORACLE["stream_compacted_pages"] = ORACLE["stream_page_creates"]
+ORACLE["incremental_daily_rollup"] = _with(_AE, body=f"""
+SELECT r.*, (SELECT arg_max(e.event_id, {{'t': e.event_timestamp, 'e': e.event_id}}) FROM ae e
+             WHERE e.campaign_name = r.campaign_name AND e.event_date = r.event_date) AS last_event
+FROM ({_AE_ROLLUPS["campaign_performance_by_day"]}) r""")
+ORACLE["bucketed_upsert"] = """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_custkey % 7 = 0
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""".strip()
+ORACLE["growing_dictionary"] = """
+SELECT name, row_number() OVER (ORDER BY first_size > 2, name) AS id
+FROM (SELECT p_brand || '/' || p_type AS name, MIN(p_size) AS first_size FROM part GROUP BY 1)""".strip()
 ORACLE["secondary_key_read"] = _with(_AE, body="""
 SELECT event_id, user_id, location, event_timestamp, ad_cost FROM ae WHERE location = 'NATION_3'""")
 ORACLE["stream_refreshed_rollup"] = """

@@ -11,6 +11,7 @@ from tallyworks.catalogue import views as v
 from tallyworks.functions.calendar import months_touched
 from tallyworks.functions.parsing import slot_size
 from tallyworks.functions.serialise import plain_values
+from tallyworks.operators.dictionary import grow, read_dictionary
 from tallyworks.operators.integrity import cascade, orphan_report
 from tallyworks.operators.keyed import insert_ignore, upsert
 from tallyworks.operators.sampling import bounded_sample
@@ -19,16 +20,19 @@ from tallyworks.plans import cleaning, comparison, event_rollups as er, jobs, lo
 from tallyworks.plans import review_rollups as rr
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import scratch_path
+from tallyworks.sinks.buckets import read_buckets, upsert_buckets
 from tallyworks.sinks.reports import report_counts, report_rows as all_rows
 from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
 from tallyworks.sources import files
 from tallyworks.sources.files import read_keyed
 from tallyworks.sources.intake import intake_counts, parse_events
+from tallyworks.sources.topics import read_topic
 from tallyworks.streaming import counters, minutes
-from tallyworks.streaming.pages import run_chain
+from tallyworks.streaming.pages import read_pages, run_chain, stream_filter, stream_pages
 from tallyworks.streaming.refresh import stream_refresh
 from tallyworks.streaming.replay import replay
+from tallyworks.streaming.rollups import read_rollup, stream_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -607,6 +611,52 @@ def stream_resumed_pages(spark, d):
     return _as_wall_clock(table)
 
 
+def stream_compacted_pages(spark, d):
+    """The page table of three batches and two checkpoints, folded after the second and the third batch."""
+    root = _scratch(spark, "folded")
+    events = v.table(spark, d, "events")
+    for third in range(3):
+        events.filter(F.col("event_id") % 3 == third).write.mode("append").parquet(f"{root}/inbox")
+        source = v.page_messages(spark.readStream.schema(events.schema).parquet(f"{root}/inbox"))
+        stream_filter(source, f"{root}/processed", f"{root}/ckpt/filter", v.WEB_DOMAINS).awaitTermination()
+        # The last batch comes under a checkpoint of its own, which reads the whole topic again.
+        stream_pages(read_topic(spark, f"{root}/processed"), f"{root}/pages", f"{root}/ckpt/pages{third // 2}",
+                     fold_every=None if third == 0 else 1).awaitTermination()
+    return _as_wall_clock(read_pages(spark, f"{root}/pages"))
+
+
+def incremental_daily_rollup(spark, d):
+    """The daily campaign rollup brought forward by three batches of line items; no earlier fact is read again."""
+    root, rollup = _scratch(spark, "states"), er.campaign_day_rollup()
+    lines = v.table(spark, d, "lineitem")
+    for third in range(3):
+        lines.filter(F.col("l_orderkey") % 3 == third).write.mode("append").parquet(f"{root}/inbox")
+        stream_rollup(
+            spark.readStream.schema(lines.schema).parquet(f"{root}/inbox"), rollup, f"{root}/table", f"{root}/ckpt",
+            fold_every=2, prepare=lambda batch: v.campaign_events(spark, d, batch)).awaitTermination()
+    return er.campaign_performance_from_states(read_rollup(spark, f"{root}/table", rollup))
+
+
+def bucketed_upsert(spark, d):
+    """The last order of every customer, kept in buckets: orders before 1996, then the later ones of some customers."""
+    path = _scratch(spark, "buckets")
+    orders = v.table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    upsert_buckets(orders.filter(early), path, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    later = orders.filter(~early & (F.col("o_custkey") % 7 == 0))
+    upsert_buckets(later, path, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return read_buckets(spark, path)
+
+
+def growing_dictionary(spark, d):
+    """Campaign names with ids that a second, larger load does not change."""
+    path = _scratch(spark, "names")
+    names = v.table(spark, d, "part").select("p_size", F.concat_ws("/", "p_brand", "p_type").alias("campaign"))
+    grow(names.filter(F.col("p_size") <= 2), "campaign", path)
+    grow(names, "campaign", path)
+    return read_dictionary(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -628,7 +678,7 @@ QUERIES: dict[str, Query] = {
         campaign_day_counters, stream_campaign_day_counters, replay_restamped,
         keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
         product_reviews_rated, customer_reviews, csv_round_trip, secondary_key_read, stream_refreshed_rollup,
-        stream_resumed_pages,
+        stream_resumed_pages, stream_compacted_pages, incremental_daily_rollup, bucketed_upsert, growing_dictionary,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys

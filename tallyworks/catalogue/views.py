@@ -115,6 +115,14 @@ def ad_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _project(_lines(spark, sf_dir, set(wanted)), wanted)
 
 
+def campaign_events(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Dated events with their campaign, from some of the line items (a batch of a stream, for example)."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), _campaign_name().alias("campaign_name"))
+    return _project(lines.join(part, "l_partkey"), (
+        "event_id", "campaign_name", "event_timestamp", "event_date", "was_clicked", "ad_cost", "ad_revenue"))
+
+
 def ad_facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Events of the normalised model."""
     wanted = columns or FACT_COLUMNS

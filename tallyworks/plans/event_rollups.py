@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyworks.functions import measures as m
 from tallyworks.functions.calendar import since_days
 from tallyworks.functions.parsing import uuid_text
+from tallyworks.operators import states as st
 from tallyworks.operators.keyed import newest_per_key, one_per_key
 from tallyworks.operators.ranking import rank_within, top_n
 
@@ -43,6 +44,24 @@ def campaign_performance_by_day(events: DataFrame) -> DataFrame:
     )
 
 
+def campaign_day_rollup() -> st.Rollup:
+    """The states behind `campaign_performance_by_day`, and the latest event of each campaign and day."""
+    return st.Rollup(("campaign_name", "event_date"), {
+        "total_impressions": st.counted("event_id"),
+        "total_clicks": st.true_counted("was_clicked"),
+        "total_ad_cost": st.money("ad_cost"),
+        "total_ad_revenue": st.money("ad_revenue"),
+        "last_event": st.newest("event_id", "event_timestamp"),
+    }, where=F.col("event_date").isNotNull())
+
+
+def campaign_performance_from_states(states: DataFrame) -> DataFrame:
+    return states.select(
+        "campaign_name", "event_date", "total_impressions", "total_clicks",
+        m.ctr_daily("total_clicks", "total_impressions").alias("ctr"), "total_ad_cost", "total_ad_revenue",
+        F.col("last_event.value").alias("last_event"))
+
+
 def advertiser_spend_by_day(events: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("event_date").isNotNull())

@@ -1,41 +1,48 @@
 """A keyed table fed by micro-batches.
 
-Every micro-batch writes only its own rows, into the folder of its run and batch number, so the cost of a
-batch does not grow with the table and a replayed batch replaces exactly what it wrote before. Runs are numbered in
-the order in which their checkpoints first appeared, so what arrives later counts, also under a new checkpoint. Reading
-takes the newest row of each key; `compact` stores that view.
+Every micro-batch writes only its own rows, and a replayed batch counts once, so the cost of a batch does not grow with
+the table. Every `fold_every` batches the folders are folded into a few sorted segments, so neither their number nor the cost
+of reading grows with the age of the stream. Runs are numbered in the order in which their checkpoints first
+appeared, so what arrives later counts, also under a new checkpoint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators.keyed import newest_per_key
+from tallyworks.sinks import folding
+from tallyworks.sinks.folding import FoldingTable
+from tallyworks.sinks.snapshots import create_once, read_small, small_files
 from tallyworks.sinks.tables import write_clustered
 
 RUN, BATCH = "run", "batch"
+FOLD_EVERY = 16
 
 
 def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
     """The run a checkpoint stands for: known ones keep their number, a new one gets the next.
 
-    Batch numbers start again with a new checkpoint; the run number tells which came later. One small file per new run
-    lies beside the table.
+    Batch numbers start again with a new checkpoint; the run number tells which came later. A run is a small file inside
+    the table, named by its number and created in one step, so two streams that start together get two numbers.
     """
-    name, registry = checkpoint.rstrip("/"), f"{path.rstrip('/')}_runs"
-    try:
-        known = {r["checkpoint"]: r["run"] for r in spark.read.schema("checkpoint string, run long").json(registry).collect()}
-    except AnalysisException:
-        known = {}
-    if name not in known:
-        known[name] = max(known.values(), default=0) + 1
-        spark.createDataFrame([(name, known[name])], "checkpoint string, run long").coalesce(1).write.mode(
-            "append").json(registry)
-    return known[name]
+    name, registry = checkpoint.rstrip("/"), f"{path.rstrip('/')}/_runs"
+    while True:
+        known = {read_small(spark, f"{registry}/{f}"): int(f) for f in small_files(spark, registry)}
+        if name in known:
+            return known[name]
+        number = max(known.values(), default=0) + 1
+        if create_once(spark, f"{registry}/{number:09d}", name):
+            return number
+
+
+def keyed(path: str, keys: Sequence[str], order: Sequence[str] = (RUN, BATCH)) -> FoldingTable:
+    """The table whose row of a key is the one with the highest `order` columns, then the latest arrival."""
+    latest = [F.col(c).desc_nulls_last() for c in dict.fromkeys((*order, RUN, BATCH))]
+    return FoldingTable(path.rstrip("/"), lambda rows: newest_per_key(rows, keys, latest), tuple(keys))
 
 
 def append_batch(
@@ -44,35 +51,40 @@ def append_batch(
     """Store the newest row per key of one batch; ties fall to the greatest other columns."""
     rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in keys]
     newest = newest_per_key(rows, keys, [*order, *rest])
-    (
-        newest.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RUN, BATCH)
-        .parquet(path)
-    )
+    numbered = newest.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
+    folding.append(numbered, keyed(path, keys), run, batch)
 
 
 def stream_upsert(
     df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str,
     mode: str = "append", split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
-    quarantine: str | None = None, **trigger,
+    quarantine: str | None = None, fold_every: int | None = FOLD_EVERY,
+    fold_order: Sequence[str] = (RUN, BATCH), **trigger,
 ) -> StreamingQuery:
     """Start the upsert stream. Within a batch the row with the highest `order` columns stays.
 
-    `split` may set rows aside (for example rows without a key), which go to `quarantine` under the same
-    run and batch folders. Pass `availableNow=True` or `processingTime="30 minutes"` as trigger.
+    `split` may set rows aside (for example rows without a key), which go to `quarantine` in folders by
+    run and batch. A fold keeps one row per key by `fold_order`, so readers that decide by other columns than arrival have
+    to name them here as well; `fold_every=None` keeps all. Pass `availableNow=True` or
+    `processingTime="30 minutes"` as trigger.
     """
-    run = run_number(df.sparkSession, path, checkpoint)
+    spark = df.sparkSession
+    run = run_number(spark, path, checkpoint)
     latest = [F.col(c).desc_nulls_last() for c in order]
+    table = keyed(path, keys, fold_order)
+
+    def store(rows: DataFrame, batch: int) -> None:
+        append_batch(rows, path, run, batch, keys, latest)
+        if fold_every:
+            folding.fold(spark, table, fold_every)
 
     def write(batch_rows: DataFrame, batch: int) -> None:
         if split is None:
-            append_batch(batch_rows, path, run, batch, keys, latest)
+            store(batch_rows, batch)
             return
         batch_rows.persist()
         good, bad = split(batch_rows)
-        append_batch(good, path, run, batch, keys, latest)
+        store(good, batch)
         if quarantine:
             (
                 bad.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
@@ -89,9 +101,7 @@ def read_latest(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (RUN, BATCH)
 ) -> DataFrame:
     """The current rows. Filters on key columns reach the scan; `order` decides, highest first: by default arrival."""
-    rows = spark.read.parquet(path)
-    latest = [F.col(c).desc_nulls_last() for c in dict.fromkeys((*order, RUN, BATCH))]
-    return newest_per_key(rows, keys, latest).drop(RUN, BATCH)
+    return folding.read(spark, keyed(path, keys, order)).drop(RUN, BATCH)
 
 
 def compact(

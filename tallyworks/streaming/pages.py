@@ -12,7 +12,7 @@ from tallyworks.sinks.topics import messages
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.sources.intake import parse_events, split_keyed
 from tallyworks.sources.topics import read_topic
-from tallyworks.streaming.keyed_table import BATCH, RUN, read_latest, stream_upsert
+from tallyworks.streaming.keyed_table import BATCH, FOLD_EVERY, RUN, read_latest, stream_upsert
 
 _NOW = {"availableNow": True}
 
@@ -51,12 +51,13 @@ def stream_malformed(input_messages: DataFrame, folder: str, checkpoint: str, **
 
 
 def stream_pages(
-    processed_messages: DataFrame, table: str, checkpoint: str, quarantine: str | None = None, **trigger
+    processed_messages: DataFrame, table: str, checkpoint: str, quarantine: str | None = None,
+    fold_every: int | None = FOLD_EVERY, **trigger,
 ) -> StreamingQuery:
     """Second hop: typed rows into the keyed table; rows without a full key go to `quarantine`."""
     return stream_upsert(
         page_creates(processed_messages), table, PAGE_KEY, ["user_id"], checkpoint,
-        split=lambda rows: split_keyed(rows, *PAGE_KEY), quarantine=quarantine, **trigger,
+        split=lambda rows: split_keyed(rows, *PAGE_KEY), quarantine=quarantine, fold_every=fold_every, **trigger,
     )
 
 

@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest data set."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -31,3 +35,12 @@ def test_entry_has_rows(spark):
     rows = entry_point.entry(spark).collect()
     assert len(rows) == 5
     assert [r["ctr_pct"] for r in rows] == sorted((r["ctr_pct"] for r in rows), reverse=True)
+
+
+@pytest.mark.parametrize("hidden", ["zstandard", "tallyworks.llm", "corpus_pipeline"])
+def test_core_queries_load_without_what_the_corpus_part_needs(hidden):
+    code = (f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), 'q1_top_campaigns_by_ctr' in e.queries(), any(n.startswith('op') for n in e.queries()))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) >= 87 and out[1:] == ["True", "False"]

@@ -1,0 +1,266 @@
+"""Tables that fold, merge, replace buckets or grow: one state for every reader, each batch once, no more work than needed."""
+
+import glob
+import os
+import random
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyworks.operators import dictionary, states as st
+from tallyworks.plans import event_rollups as er
+from tallyworks.sinks import buckets, folding, snapshots
+from tallyworks.streaming import keyed_table, rollups
+
+ROWS = "k int, v int"
+
+
+def folders(path):
+    return len(glob.glob(f"{path}/folder=*"))
+
+
+def put(spark, path, batch, rows, run=1):
+    keyed_table.append_batch(spark.createDataFrame(rows, ROWS), path, run, batch, ["k"], [F.desc("v")])
+
+
+def rows_of(spark, path):
+    return sorted(map(tuple, keyed_table.read_latest(spark, path, ["k"]).collect()))
+
+
+# Records
+
+def test_only_one_writer_gets_a_number(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert snapshots.latest(spark, path) == (0, {})
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: snapshots.commit(spark, path, lambda b: {"n": b.state.get("n", 0) + 1}), range(12)))
+    assert snapshots.latest(spark, path) == (12, {"n": 12})
+    assert len(snapshots.small_files(spark, f"{path}/_snapshots")) <= snapshots.KEPT_RECORDS + 3
+    assert snapshots.create_once(spark, f"{path}/x/1", "é") and not snapshots.create_once(spark, f"{path}/x/1", "other")
+    assert snapshots.read_small(spark, f"{path}/x/1") == "é"
+
+
+def test_runs_started_together_get_two_numbers(spark, tmp_path):
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda c: keyed_table.run_number(spark, str(tmp_path / "t"), f"ckpt/{c}"), "abcd"))
+    assert sorted(numbers) == [1, 2, 3, 4]
+
+
+# Keyed table
+
+def test_folds_keep_the_rows_and_bound_the_folders(spark, tmp_path):
+    path, rng, want = str(tmp_path / "t"), random.Random(1), {}
+    table = keyed_table.keyed(path, ["k"])
+    for batch in range(24):
+        rows = [(rng.choice([None, *range(30)]), rng.randrange(99)) for _ in range(rng.randrange(1, 9))]
+        put(spark, path, batch, rows)
+        for k in {r[0] for r in rows}:
+            want[k] = max(v for key, v in rows if key == k)
+        folding.fold(spark, table, least=4)
+    got = keyed_table.read_latest(spark, path, ["k"]).collect()
+    assert {r["k"]: r["v"] for r in got} == want and len(got) == len(want)
+    state = snapshots.latest(spark, path).state
+    assert len(state["segments"]) <= 3 and len(state["tail"]) < 4
+    assert folders(path) <= len(state["segments"]) + len(state["tail"]) + len(state["retired"]) <= 14
+
+
+def test_a_reader_sees_the_state_before_the_fold_or_after_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = keyed_table.keyed(path, ["k"])
+    for batch in range(3):
+        put(spark, path, batch, [(batch, batch), (9, batch)])
+    before = keyed_table.read_latest(spark, path, ["k"])
+    folding.fold(spark, table)
+    put(spark, path, 3, [(9, 7)])
+    assert sorted(map(tuple, before.collect())) == [(0, 0), (1, 1), (2, 2), (9, 2)]  # its files are still there
+    assert rows_of(spark, path) == [(0, 0), (1, 1), (2, 2), (9, 7)]
+
+
+def test_a_replayed_batch_counts_once_before_and_after_a_fold(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = keyed_table.keyed(path, ["k"])
+    put(spark, path, 0, [(1, 1)])
+    put(spark, path, 0, [(1, 2)])
+    assert rows_of(spark, path) == [(1, 2)] and folders(path) == 1
+    put(spark, path, 1, [(1, 5)])
+    folding.fold(spark, table)
+    put(spark, path, 0, [(1, 99)])
+    put(spark, path, 1, [(1, 98)])
+    assert rows_of(spark, path) == [(1, 5)] and not snapshots.latest(spark, path).state["tail"]
+    put(spark, path, 0, [(1, 3)], run=2)  # a later checkpoint starts again at 0
+    assert rows_of(spark, path) == [(1, 3)]
+
+
+def test_a_fold_that_was_overtaken_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(3):
+        put(spark, path, batch, [(batch, 1)])
+    plain = keyed_table.keyed(path, ["k"])
+
+    def slow_merge(rows):
+        folding.fold(spark, plain)  # another writer folds in between
+        put(spark, path, 3, [(3, 1)])
+        return plain.merge(rows)
+
+    folding.fold(spark, folding.FoldingTable(path, slow_merge, ["k"]))
+    state = snapshots.latest(spark, path).state
+    assert len(state["segments"]) == 1 and [t["batch"] for t in state["tail"]] == [3]
+    assert rows_of(spark, path) == [(k, 1) for k in range(4)]
+
+
+def test_key_filters_reach_the_scan_and_no_table_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, 0, [(1, 1), (2, 2)])
+    plan = keyed_table.read_latest(spark, path, ["k"]).filter("k = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(k), EqualTo(k,2)]" in plan
+    with pytest.raises(FileNotFoundError):
+        keyed_table.read_latest(spark, str(tmp_path / "none"), ["k"])
+
+
+# Rollup states
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, "event_id string, campaign_name string, event_timestamp timestamp_ntz, event_date date, "
+                                       "was_clicked boolean, ad_cost decimal(12,2), ad_revenue decimal(12,2)")
+
+
+def some_events(n, seed=3):
+    from decimal import Decimal
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        day = rng.choice([None, *range(1, 5)])
+        at = datetime(2024, 1, day, rng.randrange(3)) if day else None
+        out.append((rng.choice([None, f"e{k}"]), rng.choice([None, "a", "b", "hot", "hot", "hot"]), at, date(2024, 1, day) if day else None,
+                    rng.choice([None, True, False]), rng.choice([None, Decimal("1.25")]), Decimal("0.10")))
+    return out
+
+
+def plain_rollup(rows):
+    out = {}
+    for event_id, name, at, day, clicked, cost, revenue in rows:
+        if day is None:
+            continue
+        s = out.setdefault((name, day), [0, 0, None, 0, None])
+        s[0] += event_id is not None
+        s[1] += bool(clicked)
+        s[2] = s[2] if cost is None else (s[2] or 0) + cost
+        s[3] += revenue
+        s[4] = max(s[4] or (datetime.min, ""), (at, event_id or ""))
+    return {k: (a, b, c, d, e[1] or None) for k, (a, b, c, d, e) in out.items()}
+
+
+def test_rollup_of_batches_equals_the_rollup_of_all_and_reads_no_fact(spark, tmp_path):
+    facts, rollup, path = some_events(400), er.campaign_day_rollup(), str(tmp_path / "table")
+    inbox = str(tmp_path / "inbox")
+    for part in range(3):
+        events(spark, facts[part::3]).coalesce(2).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(events(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        rollups.stream_rollup(source, rollup, path, str(tmp_path / "ckpt"), fold_every=2).awaitTermination()
+    read = rollups.read_rollup(spark, path, rollup)
+    got = {(r["campaign_name"], r["event_date"]): (r["total_impressions"], r["total_clicks"], r["total_ad_cost"], r["total_ad_revenue"],
+                                                   r["last_event"]) for r in er.campaign_performance_from_states(read).collect()}
+    assert got == plain_rollup(facts)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "inbox" not in plan and plan.count("Exchange") == 1
+
+
+def test_a_replayed_rollup_batch_changes_nothing(spark, tmp_path):
+    rollup, path = er.campaign_day_rollup(), str(tmp_path / "table")
+    table = rollups.rollup_table(path, rollup)
+    facts = some_events(60)
+    for batch in (0, 0, 1, 1):
+        folding.append(rollup.of(events(spark, facts[batch::2])), table, 1, batch)
+    folding.fold(spark, table)
+    for batch in (0, 1):
+        folding.append(rollup.of(events(spark, facts[batch::2])), table, 1, batch)
+    merged = er.campaign_performance_from_states(rollups.read_rollup(spark, path, rollup))
+    assert {(r[0], r[1]): (r[2], r[3], r[5], r[6], r[7]) for r in merged.collect()} == plain_rollup(facts)
+
+
+def test_other_states_and_no_facts(spark, tmp_path):
+    rollup = st.Rollup(["k"], {"low": st.least("v"), "high": st.greatest("v"), "last": st.newest("v", "t")})
+    table = rollups.rollup_table(str(tmp_path / "t"), rollup)
+    for batch, rows in enumerate([[(1, 5, 1), (1, 2, 9), (2, None, None)], [(1, 7, 3), (1, 3, 9), (None, 1, 1)], []]):
+        folding.append(rollup.of(spark.createDataFrame(rows, "k int, v int, t int")), table, 1, batch)
+    got = {r["k"]: (r["low"], r["high"], r["last"] and r["last"]["value"]) for r in folding.read(spark, table).collect()}
+    assert got == {1: (2, 7, 3), 2: (None, None, None), None: (1, 1, 1)}
+
+
+# Buckets
+
+def changes(spark, rows):
+    return spark.createDataFrame(rows, "k string, n int, at int, v string")
+
+
+def test_only_touched_buckets_are_read_and_replaced(spark, tmp_path):
+    path, keys, order = str(tmp_path / "t"), ["k", "n"], ["at"]
+    first = [(f"k{i}", i % 3, 1, "old") for i in range(200)] + [(None, None, 1, "old")]
+    assert len(buckets.upsert_buckets(changes(spark, first), path, keys, order, 16)) == 16
+    before = snapshots.latest(spark, path).state["folders"]
+    files = set(glob.glob(f"{path}/*/*/*.parquet"))
+    second = [("k7", 1, 2, "new"), ("k8", 2, 0, "late"), ("k8", 2, -1, "later")] + [("k7", 1, 2, "an")] * 50
+    touched = buckets.upsert_buckets(changes(spark, second), path, keys, order)
+    after = snapshots.latest(spark, path).state["folders"]
+    assert len(touched) <= 2 and {b for b in after if after[b] != before[b]} == {str(b) for b in touched}
+    written = set(glob.glob(f"{path}/*/*/*.parquet")) - files
+    assert len({os.path.dirname(f) for f in written}) == len(touched)
+    got = {(r[0], r[1]): r[3] for r in buckets.read_buckets(spark, path).collect()}
+    assert got == {**{(r[0], r[1]): "old" for r in first}, ("k7", 1): "new"}
+    assert buckets.upsert_buckets(changes(spark, []), path, keys, order) == []
+
+
+def test_insert_ignore_and_look_up(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["k", "n"]
+    buckets.insert_buckets(changes(spark, [("a", 1, 5, "x"), ("a", 1, 3, "first"), (None, 2, 1, "null")]), path, keys, [F.asc("at")], 8)
+    buckets.insert_buckets(changes(spark, [("a", 1, 0, "too late"), ("b", 1, 0, "b")]), path, keys, [F.asc("at")])
+    assert sorted(r["v"] for r in buckets.read_buckets(spark, path).collect()) == ["b", "first", "null"]
+    found = buckets.look_up(spark, path, keys, ["a", 1])
+    assert [r["v"] for r in found.collect()] == ["first"] and len(found.inputFiles()) == 1
+    assert [r["v"] for r in buckets.look_up(spark, path, keys, [None, 2]).collect()] == ["null"]
+    assert buckets.look_up(spark, path, keys, ["zzz", 1]).count() == 0
+
+
+def test_changes_at_the_same_time_are_all_kept(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["k", "n"]
+
+    def load(i):
+        buckets.upsert_buckets(changes(spark, [(f"k{j}", 0, i, str(i)) for j in range(i, i + 10)]), path, keys, ["at"], 4)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(load, range(3)))
+    got = {r["k"]: r["at"] for r in buckets.read_buckets(spark, path).collect()}
+    assert got == {f"k{j}": min(j, 2) for j in range(12)}
+    load(5)  # the next change removes what was replaced by the one before
+    state = snapshots.latest(spark, path).state
+    assert len(state["folders"]) == 4
+
+
+# Dictionary
+
+def test_ids_stay_dense_and_never_change(spark, tmp_path):
+    path, seen, rng = str(tmp_path / "t"), {}, random.Random(4)
+    for load in range(12):
+        names = [rng.choice([None, "", "é", *(f"n{i}" for i in range(load * 6 + 3))]) for _ in range(40)]
+        new = dictionary.grow(spark.createDataFrame([(n, 1) for n in names], "label string, id int"), "label", path)
+        fresh = sorted(set(names) - {None} - set(seen), key=lambda n: n.encode())
+        assert new == len(fresh)
+        seen.update({n: len(seen) + 1 + k for k, n in enumerate(fresh)})
+    rows = dictionary.read_dictionary(spark, path).collect()
+    assert {r["name"]: r["id"] for r in rows} == seen and len(rows) == len(seen)
+    assert len(snapshots.latest(spark, path).state["parts"]) <= dictionary.MOST_PARTS
+    assert dictionary.read_dictionary(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_two_loads_at_a_time_number_one_after_the_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(first):
+        return dictionary.grow(spark.createDataFrame([(f"n{i}",) for i in range(first, first + 20)], "label string"), "label", path)
+
+    with ThreadPoolExecutor(2) as pool:
+        assert sum(pool.map(load, (0, 10))) == 30
+    ids = [r["id"] for r in dictionary.read_dictionary(spark, path).collect()]
+    assert sorted(ids) == list(range(1, 31))
