@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import edge
@@ -165,14 +166,83 @@ def test_join_equals_all_pairs(spark):
     large = edge.words(999, 220)
     texts += [(9000 + j, changed(large, 1 + j % 5, j)) for j in range(420)]
     texts += [(9900 + j, large) for j in range(30)] + [(None, edge.words(77, 90)), (None, edge.words(77, 90) + " more")]
-    got = cp.similarity_join(edge.documents(spark, texts).repartition(4))
+    got = cp.similarity_join(edge.documents(spark, texts).repartition(4)).collect()
     want = all_pairs(texts)
-    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert sorted(((r.doc_id, r.class_id, r.n_copies) for r in got), key=str) == sorted(
+        ((i, c, n) for i, c, _, n in want), key=str)
+    # All links of a text are counted where its group is one comparison; the large group names one at least.
+    small, exact = [r for r in got if not 9000 <= (r.doc_id or 0) < 9930], {i: n for i, _, n, _ in want}
+    assert sorted(((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in small), key=str) == [
+        r for r in want if not 9000 <= (r[0] or 0) < 9930]
+    assert all((exact[r.doc_id] > 0) <= r.n_links <= exact[r.doc_id] for r in got if 9000 <= (r.doc_id or 0) < 9930)
+    check_partners(texts, got)
     kept = cp.keep_one_each(edge.documents(spark, texts)).select("doc_id").collect()
     # Two classes have no id at all.
     assert Counter(r.doc_id for r in kept) == Counter({c: 2 if c is None else 1 for _, c, _, _ in want})
 
 
+def check_partners(texts, got):
+    """The named partner is another text of the class, and the stated similarity is the exact one."""
+    by_id = {i: t for i, t in texts}
+    for r in got:
+        assert (r.similarity is None) == (r.n_links == 0)
+        if r.similarity is not None and r.linked_id is not None and r.doc_id is not None:
+            a, b = shingles(by_id[r.doc_id]), shingles(by_id[r.linked_id])
+            assert r.similarity >= cp.SIMILARITY and abs(r.similarity - len(a & b) / len(a | b)) < 1e-9
+
+
+def test_texts_outside_the_largest_class_are_compared_with_all(spark):
+    """Two families and texts between them, in one large group: sorted blocks alone would not join them all."""
+    ship_package(spark)
+    rng, base = random.Random(8), edge.words(41, 200).split()
+    other = base[:100] + edge.words(42, 100).split()
+    families = [[" ".join(w[:190] + [f"u{f}{k}"] + w[190:]) for k in range(260)] for f, w in enumerate((base, other))]
+    steps = [" ".join(base[:200 - s] + other[200 - s:]) for s in range(5, 100, 6)]  # each links to the one before
+    texts = list(enumerate(families[0] + families[1] + steps))
+    rng.shuffle(texts)
+    texts = [(k, t) for k, (_, t) in enumerate(texts)]
+    rows = spark.createDataFrame([(1, f"{k:04}", t) for k, t in texts], "group long, key string, text string")
+    tokens = cp._embedded(rows.select("group", "key", "text").withColumnRenamed("group", "doc_id")).select("key", "tokens")
+    found, classes = cp._large_groups(rows.withColumn("group", F.lit("g")), tokens)
+    roots = {r.node: r.root for r in classes.collect()}
+    want = defaultdict(set)
+    for i, c, _, _ in all_pairs(texts):
+        want[c].add(f"{i:04}")
+    have = defaultdict(set)
+    for node, root in roots.items():
+        have[root].add(node)
+    assert sorted(map(sorted, have.values())) == sorted(sorted(v) for v in want.values() if v & set(roots))
+    assert all(r.similarity >= cp.SIMILARITY for r in found.collect())
+
+
+def test_a_family_of_near_copies_costs_in_proportion_to_its_size(spark, monkeypatch):
+    ship_package(spark)
+    large, sizes, real = edge.words(999, 120), {}, components
+
+    def watched(edges):
+        sizes[m].append(edges.count())
+        return real(edges)
+
+    monkeypatch.setattr(cp, "components", watched)
+    for m in (1000, 2000, 4000):
+        sizes[m] = []
+        texts = [(j, changed(large, 1 + j % 3, j)) for j in range(m)]
+        rows = cp.similarity_join(spark.createDataFrame(texts, "doc_id long, text string").repartition(8)).collect()
+        assert len(rows) == m
+        if m == 1000:
+            want = {i: c for i, c, _, _ in all_pairs(texts)}
+            assert sum(want[r.doc_id] == r.class_id for r in rows) >= 0.99 * m
+        assert max(sizes[m]) < 6 * m, sizes
+
+
+def test_classes_equal_brute_force_on_the_given_documents(spark):
+    ship_package(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = all_pairs([(r.doc_id, r.text) for r in docs.collect()])
+    got = cp.similarity_join(docs).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: c for i, c, _, _ in want}
+
+
 def test_join_of_nothing(spark):
     ship_package(spark)
     assert cp.similarity_join(edge.no_documents(spark)).collect() == []
