@@ -11,6 +11,15 @@ REVIEW_REQUIRED = ("review_id", "product_id", "star_rating", "review_date")
 REVIEW_KEYED_REQUIRED = (*REVIEW_REQUIRED, "customer_id")
 
 
+def computed_once(raw: DataFrame, *columns: str) -> DataFrame:
+    """The named columns as plain values.
+
+    Parsers name their input several times, and filters name what they give. Where the input is itself an expression, Spark
+    would paste it in each time, up to methods too long to compile. `inline` is a step that nothing is pasted through.
+    """
+    return raw.select(F.inline(F.array(F.struct(*(columns or raw.columns)))))
+
+
 def clean_events(raw: DataFrame) -> DataFrame:
     """Typed ad events, one row per raw row.
 
@@ -56,7 +65,7 @@ def _typed_reviews(raw: DataFrame) -> DataFrame:
     text = ["review_id", "product_id", "customer_id", "marketplace", "product_title", "product_category",
             "review_headline", "review_body"]
     whole = ["star_rating", "helpful_votes", "total_votes", "vine", "verified_purchase"]
-    return raw.select(
+    return computed_once(raw, *text, *whole, "review_date").select(
         *text,
         *[p.whole_number(c).alias(c) for c in whole],
         p.iso_date("review_date").alias("review_date"),

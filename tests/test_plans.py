@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.catalogue.queries import QUERIES
 from tallyworks.catalogue import queries as q
+from tallyworks.plans import cleaning
 
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = sorted(n for n in QUERIES if not n.startswith(("stream_", "replay_")))
@@ -61,3 +63,14 @@ def test_month_range_reaches_the_rollup_scan(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
     assert "year" in filters and "month" in filters
+
+
+def test_review_inputs_are_evaluated_once(spark):
+    """A computed rating is pasted neither into each parser nor into the filters on what they give."""
+    computed = [F.concat_ws("", F.lit("mark"), F.col("id").cast("string")).alias(c) for c in (
+        "review_id", "product_id", "customer_id", "marketplace", "product_title", "product_category", "review_headline",
+        "review_body", "helpful_votes", "total_votes", "vine", "verified_purchase")]
+    raw = spark.range(10).select(*computed, F.substring(F.hash("id").cast("string"), 1, 1).alias("star_rating"),
+                                 F.date_format(F.lit("2024-01-01").cast("date"), "yyyy-MM-dd").alias("review_date"))
+    plan = cleaning.clean_reviews(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("hash(id") <= 2  # where it is made, and in the null check before
