@@ -530,6 +530,35 @@ ORACLE["incremental_daily_rollup"] = _with(_AE, body=f"""
 SELECT r.*, (SELECT arg_max(e.event_id, {{'t': e.event_timestamp, 'e': e.event_id}}) FROM ae e
              WHERE e.campaign_name = r.campaign_name AND e.event_date = r.event_date) AS last_event
 FROM ({_AE_ROLLUPS["campaign_performance_by_day"]}) r""")
+ORACLE["late_counter_rows"] = """
+SELECT campaign_name, event_date, COUNT(*) AS impressions, COUNT(*) FILTER (WHERE l_returnflag = 'R') AS clicks, late
+FROM (SELECT p_brand || '/' || p_type AS campaign_name, CAST(l_shipdate AS DATE) AS event_date, l_returnflag,
+             coalesce(CAST(l_shipdate AS DATE) + INTERVAL 1 DAY <= seen - INTERVAL 400 DAY, false) AS late
+      FROM lineitem JOIN part ON p_partkey = l_partkey
+      LEFT JOIN (SELECT k, MAX(l_shipdate) AS seen FROM lineitem, range(1, 3) t(k) WHERE l_orderkey % 3 < k GROUP BY k)
+        ON k = l_orderkey % 3)
+GROUP BY campaign_name, event_date, late""".strip()
+ORACLE["stream_last_ads"] = ORACLE["last_ads_per_user"]
+ORACLE["stream_minute_files"] = """
+WITH played AS (
+  SELECT event_id % 3 AS third, CAST(user_id AS VARCHAR) AS customer_id, props AS review_body, value AS amount,
+         TIMESTAMP '2024-01-01' + to_seconds(date_sub('second', TIMESTAMP '2024-01-01', ts) // 1440) AS moment FROM events
+), placed AS (
+  SELECT *, strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') AS review_date,
+         coalesce(date_trunc('minute', moment) + INTERVAL 1 MINUTE <= seen - INTERVAL 5 MINUTE, false) AS late
+  FROM played LEFT JOIN (SELECT k, MAX(moment) AS seen FROM played, range(1, 3) t(k) WHERE third < k AND amount >= 2 GROUP BY k)
+    ON k = third
+), written AS (
+  SELECT *, CAST(to_json(struct_pack(customer_id := customer_id,
+             review_date := CASE WHEN amount < 2 THEN 'on ' ELSE '' END || review_date, review_body := review_body)) AS VARCHAR) AS whole
+  FROM placed
+)
+SELECT customer_id AS author_id, review_date AS created_at, review_body AS text,
+       'tweets_' || strftime(moment, '%d_%m_%Y_%H_%M') || '.csv' AS minute_file FROM written WHERE amount >= 2 AND NOT late
+UNION ALL
+SELECT '', '', CASE WHEN amount < 1 THEN substr(whole, 1, 20) ELSE whole END,
+       CASE WHEN amount < 1 THEN 'not JSON' WHEN amount < 2 THEN 'unreadable time' ELSE 'closed minute' END
+FROM written WHERE amount < 2 OR late""".strip()
 ORACLE["bucketed_upsert"] = """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
 WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_custkey % 7 = 0

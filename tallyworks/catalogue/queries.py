@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,6 +11,7 @@ from tallyworks.catalogue import views as v
 from tallyworks.functions.calendar import months_touched
 from tallyworks.functions.parsing import slot_size
 from tallyworks.functions.serialise import plain_values
+from tallyworks.operators import states as st
 from tallyworks.operators.dictionary import grow, read_dictionary
 from tallyworks.operators.integrity import cascade, orphan_report
 from tallyworks.operators.keyed import insert_ignore, upsert
@@ -29,6 +30,9 @@ from tallyworks.sources.files import read_keyed
 from tallyworks.sources.intake import intake_counts, parse_events
 from tallyworks.sources.topics import read_topic
 from tallyworks.streaming import counters, minutes
+from tallyworks.streaming.closed_minutes import close_all, read_files, stream_closed_minutes
+from tallyworks.streaming.lateness import stream_timely_rollup
+from tallyworks.streaming.newest import read_newest, stream_newest
 from tallyworks.streaming.pages import read_pages, run_chain, stream_filter, stream_pages
 from tallyworks.streaming.refresh import stream_refresh
 from tallyworks.streaming.replay import replay
@@ -633,10 +637,63 @@ def incremental_daily_rollup(spark, d):
         lines.filter(F.col("l_orderkey") % 3 == third).write.mode("append").parquet(f"{root}/inbox")
         stream_rollup(
             spark.readStream.schema(lines.schema).parquet(f"{root}/inbox"), rollup, f"{root}/table", f"{root}/ckpt",
-            fold_every=2, prepare=lambda batch: v.campaign_events(spark, d, batch)).awaitTermination()
+            fold_every=2, prepare=lambda batch: v.ad_events_of(spark, d, batch, "campaign_name", "event_timestamp", *_DAY),
+        ).awaitTermination()
     return er.campaign_performance_from_states(read_rollup(spark, f"{root}/table", rollup))
 
 
+def _thirds(spark, d, name: str, key: str, root: str):
+    """The table as three batches that come one after another, each with rows of all times."""
+    rows = v.table(spark, d, name)
+    for third in range(3):
+        rows.filter(F.col(key) % 3 == third).write.mode("append").parquet(f"{root}/inbox")
+        yield spark.readStream.schema(rows.schema).parquet(f"{root}/inbox")
+
+
+def late_counter_rows(spark, d):
+    """Daily counters of three batches in which days close 400 days after the latest event, and the rows that came too late."""
+    root = _scratch(spark, "late")
+    counts = st.Rollup(("campaign_name", "event_date"), {
+        "impressions": st.counted("event_id"), "clicks": st.true_counted("was_clicked")})
+    for lines in _thirds(spark, d, "lineitem", "l_orderkey", root):
+        events = v.ad_events_of(spark, d, lines, "campaign_name", "event_timestamp", "event_date", "event_id", "was_clicked")
+        stream_timely_rollup(events, counts, f"{root}/table", f"{root}/late", f"{root}/ckpt", "event_timestamp",
+                             timedelta(days=1), timedelta(days=400), fold_every=2).awaitTermination()
+    counted = read_rollup(spark, f"{root}/table", counts)
+    late = counts.of(spark.read.parquet(f"{root}/late"))
+    return counted.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
+def stream_last_ads(spark, d):
+    """The ten newest ads of every user, kept by a stream whose events come in no order of time."""
+    root = _scratch(spark, "last-ads")
+    columns = ("user_id", *_DAY, "event_timestamp", "campaign_name", "advertiser_name", "ad_slot_size", "device", "location",
+               "click_timestamp")
+    for lines in _thirds(spark, d, "lineitem", "l_orderkey", root):
+        rows = er.history_rows(v.ad_events_of(spark, d, lines, *columns)).select(*er.LAST_ADS)
+        stream_newest(rows, f"{root}/table", f"{root}/ckpt", ["user_id"], "event_timestamp", ["event_id"], 10,
+                      fold_every=2).awaitTermination()
+    return read_newest(spark, f"{root}/table", ["user_id"], "event_timestamp", ["event_id"], 10)
+
+
+def stream_minute_files(spark, d):
+    """The minute files of three batches, five minutes after which a minute closes, read back, and what was set aside.
+
+    The month of the given events is played in half an hour, so that a minute holds a day of them.
+    """
+    root = _scratch(spark, "minute-files")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    played = F.timestamp_add("SECOND", F.floor(F.timestamp_diff("SECOND", start, "ts") / 1440), start)
+    for events in _thirds(spark, d, "events", "event_id", root):
+        stream_closed_minutes(v.dirty_tweets(events.withColumn("ts", played)), f"{root}/minutes", f"{root}/ckpt",
+                              timedelta(minutes=5)).awaitTermination()
+    close_all(spark, f"{root}/minutes")
+    aside = spark.read.parquet(f"{root}/minutes/quarantine").select(
+        F.lit("").alias("author_id"), F.lit("").alias("created_at"), F.col("value").alias("text"),
+        F.col("reason").alias(minutes.FILE_COLUMN))
+    return read_files(spark, f"{root}/minutes").unionByName(aside)
+
+
 def bucketed_upsert(spark, d):
     """The last order of every customer, kept in buckets: orders before 1996, then the later ones of some customers."""
     path = _scratch(spark, "buckets")
@@ -679,6 +736,7 @@ QUERIES: dict[str, Query] = {
         keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
         product_reviews_rated, customer_reviews, csv_round_trip, secondary_key_read, stream_refreshed_rollup,
         stream_resumed_pages, stream_compacted_pages, incremental_daily_rollup, bucketed_upsert, growing_dictionary,
+        late_counter_rows, stream_last_ads, stream_minute_files,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys

@@ -65,9 +65,9 @@ def _line_columns() -> dict[str, Column]:
     }
 
 
-def _lines(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
-    """Line items with the source columns of `wanted` joined to them."""
-    lines = table(spark, sf_dir, "lineitem")
+def _lines(spark: SparkSession, sf_dir: str, wanted: set[str], lines: DataFrame | None = None) -> DataFrame:
+    """Line items (all, or those given) with the source columns of `wanted` joined to them."""
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     if wanted & {"campaign_name", "advertiser_name", "campaign_id", "ad_slot_size"}:
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"),
@@ -115,12 +115,9 @@ def ad_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _project(_lines(spark, sf_dir, set(wanted)), wanted)
 
 
-def campaign_events(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    """Dated events with their campaign, from some of the line items (a batch of a stream, for example)."""
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), _campaign_name().alias("campaign_name"))
-    return _project(lines.join(part, "l_partkey"), (
-        "event_id", "campaign_name", "event_timestamp", "event_date", "was_clicked", "ad_cost", "ad_revenue"))
+def ad_events_of(spark: SparkSession, sf_dir: str, lines: DataFrame, *columns: str) -> DataFrame:
+    """Cleaned flat events of some of the line items: a stream of them, or one batch."""
+    return _project(_lines(spark, sf_dir, set(columns), lines), columns)
 
 
 def ad_facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -17,6 +17,8 @@ from tallyworks.operators import states as st
 from tallyworks.operators.keyed import newest_per_key, one_per_key
 from tallyworks.operators.ranking import rank_within, top_n
 
+HISTORY_KEY = ("user_id", "event_timestamp", "event_id")
+LAST_ADS = (*HISTORY_KEY, "campaign_name", "advertiser_name", "was_clicked", "click_timestamp")
 EVERYONE = "global"  # the single bucket of the user ranking
 
 
@@ -81,15 +83,19 @@ def user_engagement_history(events: DataFrame) -> DataFrame:
     as in a store keyed this way; they do so in the map tasks already, so a much-copied event
     does not travel. The key also spreads the events of one busy user over all tasks.
     """
+    return one_per_key(history_rows(events), HISTORY_KEY)
+
+
+def history_rows(events: DataFrame) -> DataFrame:
+    """The rows of the history as they come, copies included; of a stream as well."""
     known = events.filter(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull())
-    history = known.select(
+    return known.select(
         "user_id",
         "event_timestamp",
         uuid_text("event_id", *known.columns).alias("event_id"),
         "campaign_name", "advertiser_name", "ad_slot_size", "device", "location",
         "was_clicked", "click_timestamp", "ad_cost", "ad_revenue",
     )
-    return one_per_key(history, ["user_id", "event_timestamp", "event_id"])
 
 
 def user_activity(events: DataFrame) -> DataFrame:
@@ -151,10 +157,7 @@ def last_ads_per_user(history: DataFrame, user_id: int | None = None, n: int = 1
     if user_id is not None:
         history = history.filter(F.col("user_id") == user_id)
     newest = newest_per_key(history, ["user_id"], [F.desc("event_timestamp"), F.asc("event_id")], n)
-    return newest.select(
-        "user_id", "event_timestamp", "event_id", "campaign_name", "advertiser_name",
-        "was_clicked", "click_timestamp",
-    )
+    return newest.select(*LAST_ADS)
 
 
 def top_clickers_30d(history: DataFrame, as_of: date, n: int = 10, days: int = 30) -> DataFrame:

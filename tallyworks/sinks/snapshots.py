@@ -76,6 +76,17 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to its final name, over an older one of that name."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    context, start = _at(spark, source)
+    _, end = _at(spark, target)
+    context.mkdir(end.getParent(), None, True)
+    how = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "OVERWRITE")
+    context.rename(start, end, how)
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         context, where = _at(spark, path)
