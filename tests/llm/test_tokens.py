@@ -75,6 +75,23 @@ def test_bit_plane_files_of_edge_rows(spark):
     assert all(len(v) == 500 for (s, f), v in whole.items() if (s, f + 500) in whole)
 
 
+def test_rows_without_an_id_are_spread_over_the_shards(spark):
+    ship_package(spark)
+    rows = [(None if k % 3 == 0 else k, f"text number {k * 7919 % 3000}") for k in range(3000)]
+    path = fresh_path(spark, "planes")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        bitplanes.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path, WORD, False, end_id=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    chunks = spark.read.schema(bitplanes.CHUNK_SCHEMA).parquet(path)
+    shards = Counter(r.shard for r in bitplanes.read_parts(chunks).collect())
+    assert sum(shards.values()) == 3000 and max(shards.values()) < 800
+    got = bitplanes.read_documents(chunks).collect()
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == [None] * 1000 + [k for k in range(3000) if k % 3]
+
+
 def test_bit_plane_files_of_nothing(spark):
     ship_package(spark)
     path = fresh_path(spark, "test-planes")
