@@ -4,7 +4,9 @@ A text's pre-tokens are its words, each with the word mark in front. The best se
 vocabulary pieces maximises the sum of their log-probabilities; its forward scores at a prefix depend on that
 prefix alone. The distinct new pre-tokens of a batch are sorted, which lays them out as the nodes of a trie level
 by level: a node is a prefix that the word before does not share, and its score is computed once, for all nodes of
-a level together. The count at a word's last node is kept, so a repeated word costs a look-up.
+a level together. The count at a word's last node is kept, so a repeated word costs a look-up. Words of more than
+`LONG` bytes share little but are deep, so they are segmented one by one: all places of all pieces are looked up in arrays, a
+stretch at a time, and the recurrence runs over the places found.
 
 Texts never leave their task: the work is one scan without a shuffle, and the tables of a worker are bounded.
 
@@ -27,6 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyworks.llm.textgrid import HashIndex, ragged, span_hashes, text_blocks, words
 
 MARK = "▁".encode()
+LONG = 512
+STRETCH = 1 << 18  # bytes of a long word that are looked up at once
 _MODELS: dict[str, "UnigramCounter"] = {}
 
 
@@ -80,7 +84,10 @@ class UnigramCounter:
         out = np.zeros(len(starts), np.int64)
         lengths = ends - starts + len(MARK)
         group = np.ceil(np.log2(lengths)).astype(int)
-        for g in np.unique(group):
+        for k in np.flatnonzero(lengths > LONG).tolist():
+            out[k] = self._long(np.concatenate([np.frombuffer(MARK, np.uint8), data[starts[k]:ends[k]]]))
+            group[k] = -1
+        for g in np.unique(group[group >= 0]):
             rows = np.flatnonzero(group == g)
             step = max(1, (1 << 21) >> int(g))
             for k in range(0, len(rows), step):
@@ -134,6 +141,34 @@ class UnigramCounter:
         out[order] = result
         return out
 
+    def _long(self, word: np.ndarray) -> int:
+        """Token count of one long word."""
+        keep, best, count = self.longest, [0.0], [0]  # at the last `keep` ends and those of the stretch
+        for first in range(0, len(word), STRETCH):
+            last, low = min(len(word), first + STRETCH), max(0, first - keep)
+            part, sizes, ends, gains = word[low:last], [], [], []
+            for size in range(1, min(keep, len(part)) + 1):
+                begin = np.arange(max(0, first - low + 1 - size), len(part) - size + 1)
+                piece = self.pieces.find(span_hashes(part, begin, begin + size))
+                at = np.flatnonzero(piece >= 0) if size > 1 else np.arange(len(begin))
+                sizes.append(np.full(len(at), size))
+                ends.append(begin[at] + size)
+                gains.append(np.where(piece[at] >= 0, self.scores[piece[at]], self.fallback))
+            sizes, ends, gains = (np.concatenate(x) for x in (sizes, ends, gains))
+            order = np.lexsort((sizes, ends))
+            bounds = np.searchsorted(ends[order], np.arange(first - low + 1, last - low + 2)).tolist()
+            sizes, gains = sizes[order].tolist(), gains[order].tolist()
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                top, tokens = -math.inf, 0
+                for k in range(a, b):
+                    value = best[-sizes[k]] + gains[k]
+                    if value > top:
+                        top, tokens = value, count[-sizes[k]] + 1
+                best.append(top)
+                count.append(tokens)
+            best, count = best[-keep:], count[-keep:]
+        return count[-1]
+
     @staticmethod
     def _hashes(flat: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
         """Hashes of `size` bytes from each position, equal to those of the pieces."""

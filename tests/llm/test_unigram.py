@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import public_tokenizers
 import pyarrow as pa
@@ -45,6 +46,25 @@ def test_small_vocabulary_and_odd_bytes():
     assert got == [counts(t, scores) for t in texts]
 
 
+def test_long_words_equal_the_plain_program_and_take_little_time(monkeypatch):
+    rng = random.Random(2)
+    scores = unigram.zipf_scores(MODEL)
+    model = unigram.UnigramCounter(scores)
+    texts = ["".join(rng.choice(("an", "be", "ing", "é", "x", "日")) for _ in range(n)) for n in (150, 260, 400, 3000)]
+    texts += [f"a {texts[3]} b {texts[2]}", "z" * 513]
+    for stretch in (unigram.STRETCH, 100):
+        monkeypatch.setattr(unigram, "STRETCH", stretch)
+        model._reset()
+        got = [tuple(x.tolist()) for _, _, d, o in text_blocks(pa.array(texts)) for x in model.count(d, o)]
+        assert list(zip(*got)) == [counts(t, scores) for t in texts]
+    monkeypatch.undo()
+    word, started = "".join(rng.choice("abcdefgh") for _ in range(200_000)), time.perf_counter()
+    (_, _, data, offsets), = text_blocks(pa.array([word]))
+    tokens = model.count(data, offsets)[1].tolist()
+    assert time.perf_counter() - started < 4
+    assert tokens == [counts(word, scores)[1]]
+
+
 def test_query_form(spark):
     ship_package(spark)
     scores = unigram.zipf_scores(MODEL)
