@@ -11,9 +11,12 @@
    another word and for a gap. A score of 1 is an exact copy of the whole item. Paraphrased and edited copies keep
    most of it.
 
+Items of fewer than `NGRAM` words hold too little to be told from chance once edited. They are found word for word, by the hash
+of all their words, with the score 1.
+
 Words are runs of letters and digits with A-Z lower-cased, so punctuation and case do not matter.
 
-Cases: null and empty texts have no words; an item of fewer than n words is never found; equal rows are reported each
+Cases: null and empty texts have no words; an item without words is never found; equal rows are reported each
 for itself; equal items are reported each; empty tables give no rows; other columns, also ones named like those used
 here, do not matter. A share min_score of an item must be more than one word for the bound of step 2.
 """
@@ -74,12 +77,16 @@ class Items:
 
     def __init__(self, ids: list, texts: pa.Array, n: int, min_score: float):
         parts, self.ids = [], []
+        self.short: dict[int, dict[int, list]] = {}  # items of fewer than n words: number of words, hash, ids
         for first, end, hashes, begin in _words(texts):
             for k in range(first, end):
                 own = hashes[begin[k - first]:begin[k - first + 1]]
                 if len(own) >= n:
                     parts.append(own)
                     self.ids.append(ids[k])
+                elif len(own):
+                    whole = int(grams(own, np.array([0, len(own)]), len(own))[0][0])
+                    self.short.setdefault(len(own), {}).setdefault(whole, []).append(ids[k])
         self.min_score = min_score
         self.hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.sizes = np.array([len(x) for x in parts], np.int64)
@@ -104,6 +111,26 @@ class Items:
         out[self.grams >> np.uint64(64 - BITMAP_BITS)] = True
         return out
 
+    def word_for_word(self, hashes: np.ndarray, begin: np.ndarray):
+        """(text, item id, places, first word, end word) of the items of few words."""
+        text_of = _text_of(begin)
+        for size, known in sorted(self.short.items()):
+            gram, at = grams(hashes, begin, size)
+            hit = np.flatnonzero(np.isin(gram, np.array(sorted(known), np.uint64)))
+            order = hit[np.lexsort((at[hit], gram[hit], text_of[at[hit]]))]
+            keys = text_of[at[order]]
+            edges = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (gram[order][1:] != gram[order][:-1])])) \
+                if len(order) else np.zeros(0, np.int64)
+            for a, b in zip(edges, [*edges[1:], len(order)]):
+                places, free = 0, -1
+                for word in at[order[a:b]].tolist():
+                    if word >= free:
+                        places, free = places + 1, word + size
+                t = int(keys[a])
+                low = int(at[order[a]] - begin[t])
+                for item_id in known[int(gram[order[a]])]:
+                    yield t, item_id, places, low, low + size
+
     def candidates(self, hashes: np.ndarray, begin: np.ndarray, bitmap: np.ndarray):
         """(text, item, [(first word, end word)]): where an alignment may reach the score."""
         text_of = _text_of(begin)
@@ -241,13 +268,14 @@ def _aligned(index: Items):
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not index.ids:
-            return
         bitmap = index.bitmap()
         for batch in batches:
             for first, _, hashes, begin in _words(batch.column(1)):
                 rows = []
-                for t, item, places in index.candidates(hashes, begin, bitmap):
+                for t, item_id, *place in index.word_for_word(hashes, begin):
+                    doc_id, row = (batch.column(c)[first + t].as_py() for c in (0, 2))
+                    rows.append((doc_id, item_id, 1.0, *place, row))
+                for t, item, places in index.candidates(hashes, begin, bitmap) if index.ids else ():
                     best = _best_place(hashes[begin[t]:begin[t + 1]],
                                        index.hashes[index.begin[item]:index.begin[item + 1]], places, index.min_score)
                     if best:

@@ -113,6 +113,32 @@ def test_copies_without_untouched_runs_are_found_like_by_plain_alignment(spark):
     assert want == {(r.doc_id, r.item_id) for r in found if r.doc_id == r.item_id}
 
 
+def test_items_of_few_words_are_found_word_for_word(spark):
+    ship_package(spark)
+    items = [(0, "Zebra"), (1, "blue Zebra"), (2, "a blue zebra"), (3, "a blue zebra"), (4, "..."), (5, edge.words(5, 12)),
+             (6, "one two three four")]
+    texts = [(1, "see a blue zebra, A Blue Zebra!"), (2, "blue zebras"), (3, "zebra zebra"), (4, "a blue"), (5, None), (6, ""),
+             (7, "zebra"), (8, "a zebra blue"), (9, "one two three and more")]
+    found = dc.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    few = {i: split(t) for i, t in items if 0 < len(split(t)) < dc.NGRAM}
+    want = set()
+    for d, t in texts:
+        for i, x in few.items():
+            w, places, at, first = split(t), 0, 0, None
+            while at + len(x) <= len(w):
+                if w[at:at + len(x)] == x:
+                    first = at if first is None else first
+                    places, at = places + 1, at + len(x)
+                else:
+                    at += 1
+            if places:
+                want.add((d, i, 1.0, places, first, first + len(x)))
+    assert {tuple(r)[:6] for r in found if r.item_id in few} == want and len(want) == 7
+    # From NGRAM words on, an edited copy is found too.
+    assert [(r.doc_id, r.score) for r in found if r.item_id == 6] == [(9, 0.75)]
+
+
 def test_clean_rows_that_share_the_id_of_a_leak_stay(spark):
     ship_package(spark)
     leak, clean = f"{edge.words(41, 20)} {ITEMS[1][1]}", [edge.words(42 + k, 50) for k in range(4)]
