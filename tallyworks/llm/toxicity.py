@@ -1,11 +1,11 @@
 """Toxicity by a learned lexicon, misspellings included, with the context of every hit.
 
 1. Terms are the words whose documents are toxic more often than chance allows (binomial tail, corrected for
-   the number of words), searched anew among the texts that the terms found so far leave unexplained, so that
+   the number of words) and toxic for the most part (`MIN_PRECISION`), searched anew among the texts that the terms found so far leave unexplained, so that
    rarer languages get their terms too. Near copies count once: documents are told apart by the smallest hash of their word 5-grams.
 2. The terms form a trie. A Levenshtein automaton runs over it: its states are sets of (trie node, edits so far), built
    when first met and kept, so a word costs one look-up per character and most words fail after a few. Terms of
-   5 letters allow one edit, of 9 two, shorter ones none. Words that clean training documents hold are not misspellings.
+   5 letters allow one edit, of 9 two, shorter ones none; words of more than `LONG_WORD` bytes stand for their hash. Words that clean training documents hold are not misspellings.
 3. A hit weighs its term's precision, less for edits, and is multiplied by a score of its context window: quotation
    marks around it and words of reporting make it count less, direct address makes it count more.
 4. The document's score is a logistic function of the log of its summed hits, fitted on the training rows.
@@ -13,7 +13,7 @@
 Only distinct words reach the automaton, and their verdicts are kept per worker; texts stay in their task.
 
 Cases: null and empty texts have no hits and get the score of a text without hits; without any label all
-documents get the same score; repeated rows are scored each for itself; empty tables give no rows; other columns are
+documents get the same score; a document with contradictory labels counts as toxic; repeated rows are scored each for itself; empty tables give no rows; other columns are
 ignored.
 """
 
@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks.llm.labelled import fit_logistic, held_out, sigmoid, training_rows
 from tallyworks.llm.staging import staged
@@ -33,6 +33,8 @@ from tallyworks.llm.textgrid import HashIndex, grams, span_hashes, spans, text_b
 
 MAX_TRAINING_ROWS = 20_000
 ROUNDS = 3  # searches for terms; each looks only at texts without the terms found so far
+MIN_PRECISION = 0.8  # share of toxic ones among the documents of a term
+LONG_WORD = 64
 WINDOW = 5  # words on either side of a hit
 
 # Words of reporting and of direct address in the languages of the corpus.
@@ -70,6 +72,11 @@ def cut_words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
+def spelling(raw: bytes, start: int, end: int, word_hash: int) -> str:
+    """The word, or its hash where it is too long to be kept as it is."""
+    return raw[start:end].decode("utf-8", "replace") if end - start <= LONG_WORD else f"#{word_hash:016x}"
+
+
 def allowed_edits(term: str) -> int:
     return 2 if len(term) >= 9 else 1 if len(term) >= 5 else 0
 
@@ -194,8 +201,8 @@ class Scorer:
         if len(new):
             fresh, where = np.unique(hashes[new], return_index=True)
             where, raw = new[where], data.tobytes()
-            judged = [self._judge(raw[a:b].decode("utf-8", "replace"))
-                      for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+            judged = [self._judge(spelling(raw, *w))
+                      for w in zip(starts[where].tolist(), ends[where].tolist(), hashes[where].tolist())]
             self.seen.add(fresh)
             self.verdict = np.concatenate([self.verdict, np.array([j[2] if j else 0 for j in judged], np.float32)])
             at[new] = self.seen.find(hashes[new])
@@ -246,10 +253,9 @@ def _word_rows(rows: DataFrame) -> DataFrame:
                     gram, _ = grams(own, np.array([0, len(own)]), 5)
                     copy = int((gram if len(gram) else own if len(own) else np.zeros(1, np.uint64)).min() >> np.uint64(1))
                     for i in (where + first[k]).tolist():
-                        if 3 <= ends[i] - starts[i] <= 40:
-                            words.append(raw[starts[i]:ends[i]].decode("utf-8", "replace"))
-                            copies.append(copy)
-                            marks.append(labels[begin + k])
+                        words.append(spelling(raw, int(starts[i]), int(ends[i]), int(hashes[i])))
+                        copies.append(copy)
+                        marks.append(labels[begin + k])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(words, pa.string()), pa.array(copies, pa.int64()), pa.array(marks, pa.int32())],
                     ["word", "copy", "label"])
@@ -257,12 +263,11 @@ def _word_rows(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInArrow(cut, "word string, copy long, label int")
 
 
-def _tail(a: int, n: int, p: float) -> float:
+def _tail(a: Column, n: Column, p: float) -> Column:
     """Log of an upper bound of P(X >= a) for n trials of chance p (Chernoff)."""
     q = a / n
-    if q <= p:
-        return 0.0
-    return -n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0))
+    miss = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0)
+    return F.when(q <= p, 0.0).otherwise(-n * (q * F.log(q / p) + miss))
 
 
 def _terms(counts: DataFrame, rows: DataFrame) -> dict[str, float]:
@@ -275,9 +280,9 @@ def _terms(counts: DataFrame, rows: DataFrame) -> dict[str, float]:
     if not 0 < share < 1:
         return {}
     chance = math.log(0.01 / max(1, counts.count()))
-    likely = counts.where((F.col("toxic") >= 4) & (F.col("toxic") >= 4 * F.col("clean"))).collect()
-    return {r["word"]: (r["toxic"] + 0.5) / (r["toxic"] + r["clean"] + 1) for r in likely
-            if _tail(r["toxic"], r["toxic"] + r["clean"], share) < chance}
+    seen = F.col("toxic") + F.col("clean")
+    likely = counts.where((F.col("toxic") >= MIN_PRECISION * seen) & (_tail(F.col("toxic"), seen, share) < chance)).collect()
+    return {r["word"]: (r["toxic"] + 0.5) / (r["toxic"] + r["clean"] + 1) for r in likely}
 
 
 def _without(rows: DataFrame, terms: dict[str, float]) -> DataFrame:

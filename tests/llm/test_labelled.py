@@ -137,6 +137,31 @@ def test_toxicity_on_held_out_rows_and_misspellings(spark, corpus):
     assert rows[2].score < rows[3].score < rows[4].score
 
 
+def test_terms_of_any_length_and_scores_by_their_definition(spark):
+    ship_package(spark)
+    rng, long_word = random.Random(3), "ы" * 90
+    plain = [f"w{k}x" for k in range(60)]
+    texts, marks = [], []
+    for k in range(1200):
+        bad = k % 4 == 0
+        words = rng.choices(plain, k=rng.randint(8, 30))
+        if bad:
+            words[rng.randrange(len(words))] = rng.choice(["qz", long_word, "я"])
+        if k % 4 == 1:
+            words.insert(0, "mild")  # clean and toxic alike
+        texts.append((k, " ".join(words)))
+        marks.append((k, 1, int(bad)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    folded = [t for t in model.terms if t.startswith("#")]
+    assert {"qz", "я"} | set(folded) == set(model.terms) and len(folded) == 1
+    known = {**model.terms, long_word: model.terms[folded[0]]}
+    for r in toxicity.score(docs, model).collect():
+        mass = np.log1p(sum(np.float32(known.get(w, 0)) for w in texts[r.doc_id][1].split()))
+        want = 1 / (1 + np.exp(-(model.weight * mass + model.bias)))
+        assert abs(r.score - want) < 1e-6 and r.predicted == int(r.score >= 0.5)
+
+
 @pytest.mark.parametrize("module,label", [(mil, "quality"), (toxicity, "toxic")])
 def test_edge_rows_and_missing_labels(spark, corpus, module, label):
     docs, labels = frames(spark, corpus)
