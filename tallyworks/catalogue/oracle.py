@@ -559,6 +559,20 @@ UNION ALL
 SELECT '', '', CASE WHEN amount < 1 THEN substr(whole, 1, 20) ELSE whole END,
        CASE WHEN amount < 1 THEN 'not JSON' WHEN amount < 2 THEN 'unreadable time' ELSE 'closed minute' END
 FROM written WHERE amount < 2 OR late""".strip()
+ORACLE["stream_write_counts"] = """
+WITH batches(run, batch, low, high) AS (VALUES (1, 0, 0, 0), (1, 1, 1, 1), (2, 0, 0, 2))
+SELECT CAST(run AS BIGINT) AS run, CAST(batch AS BIGINT) AS batch, COUNT(*) AS received,
+       COUNT(DISTINCT CASE WHEN value <= 300 THEN {'d': event_type, 't': ts, 'p': json_extract_string(props, '$.k')} END) AS written,
+       COUNT(*) FILTER (WHERE value IS NULL OR value > 300) AS failed
+FROM events JOIN batches ON event_id % 3 BETWEEN low AND high GROUP BY run, batch""".strip()
+ORACLE["two_key_read"] = _with(_AE, body="""
+SELECT event_id, user_id, location, event_timestamp, ad_cost, 'user' AS asked FROM ae WHERE user_id = 46
+UNION ALL
+SELECT event_id, user_id, location, event_timestamp, ad_cost, 'place' FROM ae WHERE location = 'NATION_3'""")
+ORACLE["report_csv_round_trip"] = _with(_AE, _DIMS, body="\nUNION ALL\n".join(
+    f"SELECT '{key}' AS query, CAST(to_json(struct_pack("
+    + ", ".join(f"{c} := {_JSON_VALUE.get(c, 'CAST({} AS VARCHAR)').format(c)}" for c in _REPORT_COLUMNS[key])
+    + f")) AS VARCHAR) AS row_json FROM ({sql})" for key, sql in _REPORTS.items()))
 ORACLE["bucketed_upsert"] = """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
 WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_custkey % 7 = 0

@@ -22,15 +22,17 @@ from tallyworks.plans import review_rollups as rr
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import scratch_path
 from tallyworks.sinks.buckets import read_buckets, upsert_buckets
-from tallyworks.sinks.reports import report_counts, report_rows as all_rows
+from tallyworks.sinks.reports import report_counts, report_rows as all_rows, write_report_csv
 from tallyworks.sinks.tables import refresh_partitions, write_clustered
 from tallyworks.sinks.topics import messages
+from tallyworks.sinks.two_keys import write_two_keys
 from tallyworks.sources import files
 from tallyworks.sources.files import read_keyed
 from tallyworks.sources.intake import intake_counts, parse_events
 from tallyworks.sources.topics import read_topic
 from tallyworks.streaming import counters, minutes
 from tallyworks.streaming.closed_minutes import close_all, read_files, stream_closed_minutes
+from tallyworks.streaming.counts import write_counts
 from tallyworks.streaming.lateness import stream_timely_rollup
 from tallyworks.streaming.newest import read_newest, stream_newest
 from tallyworks.streaming.pages import read_pages, run_chain, stream_filter, stream_pages
@@ -694,6 +696,44 @@ def stream_minute_files(spark, d):
     return read_files(spark, f"{root}/minutes").unionByName(aside)
 
 
+def stream_write_counts(spark, d):
+    """Rows received, written and set aside by each batch of the page stream, under two checkpoints.
+
+    Pages of a value above 300 have no title and so no place in the table.
+    """
+    root = _scratch(spark, "counts")
+    page = F.struct(F.col("event_type").alias("domain"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
+                    F.when(F.col("value") <= 300, F.get_json_object("props", "$.k")).alias("page_title"), "user_id")
+    for third, events in enumerate(_thirds(spark, d, "events", "event_id", root)):
+        stream_pages(events.select(F.to_json(page).alias("value")), f"{root}/pages", f"{root}/ckpt{third // 2}",
+                     f"{root}/quarantine", count=True).awaitTermination()
+    return write_counts(spark, f"{root}/pages")
+
+
+def two_key_read(spark, d):
+    """Events stored once for look-ups by user and by place, read back for one of each."""
+    path = _scratch(spark, "two-keys")
+    events = v.ad_events(spark, d, "event_id", "user_id", "location", "event_timestamp", "ad_cost")
+    write_two_keys(events, path, "user_id", "location")
+    by_user = read_keyed(spark, path, user_id=USER).withColumn("asked", F.lit("user"))
+    return by_user.unionByName(read_keyed(spark, path, location=PLACE).withColumn("asked", F.lit("place")))
+
+
+def report_csv_round_trip(spark, d):
+    """The reports written as headed CSV files and read back, as text."""
+    out = _scratch(spark, "report")
+    rows = None
+    for key, (_, df) in _report(spark, d).items():
+        exact = df.withColumns({c: F.col(c).cast("decimal(24,4)") for c, kind in df.dtypes if kind == "double"})
+        write_report_csv(exact, f"{out}/{key}.csv")
+        back = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in df.columns])).option(
+            "header", True).option("enforceSchema", False).csv(f"{out}/{key}.csv")
+        one = back.select(F.lit(key).alias("query"), F.to_json(F.struct(*back.columns), {"ignoreNullFields": "false"})
+                          .alias("row_json"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 def bucketed_upsert(spark, d):
     """The last order of every customer, kept in buckets: orders before 1996, then the later ones of some customers."""
     path = _scratch(spark, "buckets")
@@ -736,7 +776,8 @@ QUERIES: dict[str, Query] = {
         keyed_month_read, refreshed_rollup, cleaning_counts, quarantined_messages, plain_rows, slot_dimension,
         product_reviews_rated, customer_reviews, csv_round_trip, secondary_key_read, stream_refreshed_rollup,
         stream_resumed_pages, stream_compacted_pages, incremental_daily_rollup, bucketed_upsert, growing_dictionary,
-        late_counter_rows, stream_last_ads, stream_minute_files,
+        late_counter_rows, stream_last_ads, stream_minute_files, stream_write_counts,
+        two_key_read, report_csv_round_trip,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys

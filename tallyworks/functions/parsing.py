@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 _BLANKS = " \t\n\r\f\v"
@@ -49,6 +51,13 @@ def wall_clock(c: Column | str) -> Column:
     return _col(c).try_cast("timestamp_ntz")
 
 
+def wall_clock_of(c: Column | str, formats: Sequence[str] = ()) -> Column:
+    """A timestamp in ISO form or in one of `formats`, tried in that order; unreadable text gives null."""
+    text = clean_text(c)
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(wall_clock(c), *tried)
+
+
 def instant(c: Column | str) -> Column:
     """A point in time; text without an offset is read in the session zone."""
     return F.try_to_timestamp(clean_text(c))

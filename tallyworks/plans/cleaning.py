@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallyworks.functions import parsing as p
@@ -20,8 +22,8 @@ def computed_once(raw: DataFrame, *columns: str) -> DataFrame:
     return raw.select(F.inline(F.array(F.struct(*(columns or raw.columns)))))
 
 
-def clean_events(raw: DataFrame) -> DataFrame:
-    """Typed ad events, one row per raw row.
+def clean_events(raw: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
+    """Typed ad events, one row per raw row. Times are read in ISO form, then in `time_formats` in their order.
 
     Null names stay null. `event_id` is the text as given; the generated replacement of a bad one is made
     where ids are stored. Events without a readable timestamp stay, with a null `event_date`: the
@@ -36,11 +38,11 @@ def clean_events(raw: DataFrame) -> DataFrame:
         p.clean_text("Location").alias("location"),
         p.clean_text("Device").alias("device"),
         p.clean_text("AdSlotSize").alias("ad_slot_size"),
-        p.wall_clock("Timestamp").alias("event_timestamp"),
+        p.wall_clock_of("Timestamp", time_formats).alias("event_timestamp"),
         p.decimal_or_null("BidAmount", 10, 2).alias("bid_amount"),
         p.money("AdCost").alias("ad_cost"),
         p.flag("WasClicked").alias("was_clicked"),
-        p.wall_clock("ClickTimestamp").alias("click_timestamp"),
+        p.wall_clock_of("ClickTimestamp", time_formats).alias("click_timestamp"),
         p.money("AdRevenue").alias("ad_revenue"),
     )
     return typed.withColumn("event_date", F.to_date("event_timestamp"))

@@ -18,6 +18,7 @@ from tallyworks.sinks import folding
 from tallyworks.sinks.folding import FoldingTable
 from tallyworks.sinks.snapshots import create_once, read_small, small_files
 from tallyworks.sinks.tables import write_clustered
+from tallyworks.streaming import counts
 
 RUN, BATCH = "run", "batch"
 FOLD_EVERY = 16
@@ -51,21 +52,25 @@ def append_batch(
     """Store the newest row per key of one batch; ties fall to the greatest other columns."""
     rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in keys]
     newest = newest_per_key(rows, keys, [*order, *rest])
-    numbered = newest.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
-    folding.append(numbered, keyed(path, keys), run, batch)
+    folding.append(_numbered(newest, run, batch), keyed(path, keys), run, batch)
+
+
+def _numbered(rows: DataFrame, run: int, batch: int) -> DataFrame:
+    return rows.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
 
 
 def stream_upsert(
     df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str,
     mode: str = "append", split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
     quarantine: str | None = None, fold_every: int | None = FOLD_EVERY,
-    fold_order: Sequence[str] = (RUN, BATCH), **trigger,
+    fold_order: Sequence[str] = (RUN, BATCH), count: bool = False, **trigger,
 ) -> StreamingQuery:
     """Start the upsert stream. Within a batch the row with the highest `order` columns stays.
 
     `split` may set rows aside (for example rows without a key), which go to `quarantine` in folders by
     run and batch. A fold keeps one row per key by `fold_order`, so readers that decide by other columns than arrival have
-    to name them here as well; `fold_every=None` keeps all. Pass `availableNow=True` or
+    to name them here as well; `fold_every=None` keeps all. With `count` the rows received, written and set aside are
+    stored per batch (see `streaming.counts`). Pass `availableNow=True` or
     `processingTime="30 minutes"` as trigger.
     """
     spark = df.sparkSession
@@ -73,25 +78,29 @@ def stream_upsert(
     latest = [F.col(c).desc_nulls_last() for c in order]
     table = keyed(path, keys, fold_order)
 
-    def store(rows: DataFrame, batch: int) -> None:
-        append_batch(rows, path, run, batch, keys, latest)
-        if fold_every:
-            folding.fold(spark, table, fold_every)
-
     def write(batch_rows: DataFrame, batch: int) -> None:
-        if split is None:
-            store(batch_rows, batch)
-            return
-        batch_rows.persist()
-        good, bad = split(batch_rows)
-        store(good, batch)
-        if quarantine:
+        batch_rows, received = counts.observed(batch_rows, "received")
+        kept = split is not None or count
+        if kept:
+            batch_rows = batch_rows.persist()
+        good, bad = split(batch_rows) if split else (batch_rows, None)
+        rest = [F.col(c).desc_nulls_last() for c in good.columns if c not in keys]
+        newest, written = counts.observed(newest_per_key(good, keys, [*latest, *rest]), "written")
+        before = folding.append(_numbered(newest, run, batch), table, run, batch)
+        if quarantine and bad is not None:
             (
-                bad.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
+                _numbered(bad, run, batch)
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(RUN, BATCH).parquet(quarantine)
             )
-        batch_rows.unpersist()
+        # A batch that a segment holds already is not written again, and its counts stand.
+        if count and any((t["run"], t["batch"]) == (run, batch) for t in before.state.get("tail", [])):
+            counts.store_counts(spark, path, run, batch, received.get["rows"], written.get["rows"],
+                                bad.count() if bad is not None else 0)
+        if fold_every:
+            folding.fold(spark, table, fold_every)
+        if kept:
+            batch_rows.unpersist()
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).foreachBatch(write).start()

@@ -52,12 +52,12 @@ def stream_malformed(input_messages: DataFrame, folder: str, checkpoint: str, **
 
 def stream_pages(
     processed_messages: DataFrame, table: str, checkpoint: str, quarantine: str | None = None,
-    fold_every: int | None = FOLD_EVERY, **trigger,
+    fold_every: int | None = FOLD_EVERY, count: bool = False, **trigger,
 ) -> StreamingQuery:
     """Second hop: typed rows into the keyed table; rows without a full key go to `quarantine`."""
     return stream_upsert(
         page_creates(processed_messages), table, PAGE_KEY, ["user_id"], checkpoint,
-        split=lambda rows: split_keyed(rows, *PAGE_KEY), quarantine=quarantine, fold_every=fold_every, **trigger,
+        split=lambda rows: split_keyed(rows, *PAGE_KEY), quarantine=quarantine, fold_every=fold_every, count=count, **trigger,
     )
 
 

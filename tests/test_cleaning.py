@@ -171,3 +171,12 @@ def test_plain_values(spark):
         [(Decimal("1.50"), float("nan"), date(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5), "x")],
         "m decimal(10,2), d double, day date, ts timestamp_ntz, s string")
     assert tuple(serialise.plain_values(df).first()) == (1.5, None, "2024-01-02", "2024-01-02T03:04:05", "x")
+
+
+def test_times_in_other_forms(spark):
+    texts = ["2024-05-01 10:00:00", "05/01/2024 10:00", "1 May 2024 10:00:05", " 2024-05-01T10:00:00 ", "soon", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parsing.wall_clock_of("t", ["MM/dd/yyyy HH:mm", "d MMM yyyy HH:mm:ss"])).collect()]
+    at = datetime(2024, 5, 1, 10)
+    assert got == [at, at, at.replace(second=5), at, None, None, None]
+    assert [r[0] for r in df.select(parsing.wall_clock_of("t")).collect()] == [at, None, None, at, None, None, None]

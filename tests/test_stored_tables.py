@@ -6,13 +6,14 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.operators import dictionary, states as st
 from tallyworks.plans import event_rollups as er
-from tallyworks.sinks import buckets, folding, snapshots
-from tallyworks.streaming import keyed_table, rollups
+from tallyworks.sinks import buckets, folding, snapshots, two_keys
+from tallyworks.streaming import counts, keyed_table, rollups
 
 ROWS = "k int, v int"
 
@@ -264,3 +265,63 @@ def test_two_loads_at_a_time_number_one_after_the_other(spark, tmp_path):
         assert sum(pool.map(load, (0, 10))) == 30
     ids = [r["id"] for r in dictionary.read_dictionary(spark, path).collect()]
     assert sorted(ids) == list(range(1, 31))
+
+
+# Two keys
+
+def test_either_key_reads_few_files(spark, tmp_path):
+    path, rng = str(tmp_path / "t"), random.Random(5)
+    rows = [(rng.choice([None, 7, *range(2000)]) if k % 3 else 7, f"place {rng.randrange(500):03}", k) for k in range(30_000)]
+    df = spark.createDataFrame(rows, "user int, place string, v int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        two_keys.write_two_keys(df.repartition(8), path, "user", "place", files=64)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = glob.glob(f"{path}/*.parquet")
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == sorted(rows, key=str) and len(files) > 40
+
+    def touched(column, value):
+        hit = 0
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(meta.row_group(g).column(c).statistics for c in range(3) if meta.row_group(g).column(c).path_in_schema == column)
+                hit += stats is not None and stats.has_min_max and stats.min <= value <= stats.max
+        return hit / len(files)
+
+    assert touched("user", 1234) < 0.35 and touched("user", 900) < 0.35
+    assert touched("place", "place 250") < 0.35 and touched("place", "place 011") < 0.35
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
+    assert max(sizes) < 6 * len(rows) / len(files)  # the user with a third of all rows is in many files
+
+
+def test_bounds_of_nothing_and_of_one_value(spark, tmp_path):
+    empty = spark.createDataFrame([], "user int, place string")
+    assert two_keys.range_bounds(empty, ["user", "place"]) == [[], []]
+    two_keys.write_two_keys(empty, str(tmp_path / "e"), "user", "place")
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 0
+    one = spark.createDataFrame([(None, "x"), (3, "x")], "user int, place string")
+    two_keys.write_two_keys(one, str(tmp_path / "o"), "user", "place")
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+
+
+# Counts of a stream
+
+def test_counts_are_those_of_the_last_run_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    source = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for rows in ([(1, 1), (1, 2), (None, 3)], [(2, 1)], [(None, 5)]):
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        keyed_table.stream_upsert(
+            source, path, ["k"], ["v"], str(tmp_path / "ckpt"), split=lambda df: (df.filter("k IS NOT NULL"), df.filter("k IS NULL")),
+            quarantine=str(tmp_path / "q"), count=True).awaitTermination()
+    want = [(1, 0, 3, 1, 1), (1, 1, 1, 1, 0), (1, 2, 1, 0, 1)]
+    assert sorted(map(tuple, counts.write_counts(spark, path).collect())) == want
+    os.remove(sorted(glob.glob(str(tmp_path / "ckpt" / "commits" / "*")))[-1])  # the last batch runs again
+    for crc in glob.glob(str(tmp_path / "ckpt" / "commits" / ".*.crc")):
+        os.remove(crc)
+    keyed_table.stream_upsert(
+        source, path, ["k"], ["v"], str(tmp_path / "ckpt"), split=lambda df: (df.filter("k IS NOT NULL"), df.filter("k IS NULL")),
+        quarantine=str(tmp_path / "q"), count=True).awaitTermination()
+    assert sorted(map(tuple, counts.write_counts(spark, path).collect())) == want
