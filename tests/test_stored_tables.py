@@ -310,6 +310,7 @@ def test_bounds_of_nothing_and_of_one_value(spark, tmp_path):
 
 def test_counts_are_those_of_the_last_run_of_a_batch(spark, tmp_path):
     path = str(tmp_path / "t")
+    (tmp_path / "in").mkdir()
     source = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     for rows in ([(1, 1), (1, 2), (None, 3)], [(2, 1)], [(None, 5)]):
         spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
