@@ -7,8 +7,9 @@ the determinant; of the two starts the one with the smaller determinant wins. A
 Mahalanobis distance to the estimate of its group exceeds the quantile of `CUTOFF_CHANCE`; deviations to the good side count
 as none.
 
-Groups of fewer than `MIN_ROWS` rows take the estimate of their language, languages that small the one of all
-rows. Order statistics are exact on a fixed grid: values are counted per grid cell before the shuffle, so a group with a
+Estimates of few rows are drawn towards those of more: a group's towards its language's, a language's towards that of all
+rows, with the weight n / (n + `PRIOR_ROWS`) for its own n rows. Nothing changes at a certain number of rows, and a group of one row
+has an estimate too. Order statistics are exact on a fixed grid: values are counted per grid cell before the shuffle, so a group with a
 third of all rows is a bounded number of counts. Estimates are sums per group. The text is read once; the steps
 run over the stored vectors. A ridge keeps statistics that are constant in a group (no symbol in most texts) from
 having no spread.
@@ -31,7 +32,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 SUPPORT = 0.75
 STEPS = 4
-MIN_ROWS = 25          # five to a dimension; the ridge guards estimates of few rows
+PRIOR_ROWS = 25        # rows that the wider estimate counts for, five to a dimension
 CUTOFF_CHANCE = 1e-6   # of a row of the model distribution beyond the cutoff
 GRID = 64.0            # cells per unit of a transformed statistic
 RIDGE = 0.04           # spread added to every statistic, in its transformed unit
@@ -140,17 +141,48 @@ def _estimate(groups: DataFrame, keys: list[str]) -> DataFrame:
                         *[f"q{i}{j}" for i in range(_D) for j in range(i + 1)])
     # The share of smallest distances is narrower than the whole; the factor makes up for it.
     factor = _consistency(SUPPORT, _D)
+
+    def spread(i: int, j: int) -> Column:
+        value = F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
+        return factor * F.greatest(value, F.lit(0.0)) + RIDGE ** 2 if i == j else factor * value
+
+    out = _factored(out, spread)
+    logdet = sum((F.log(F.col(f"l{k}{k}")) for k in range(1, _D)), F.log(F.col("l00")))
+    return out.withColumn("logdet", logdet).select(*keys, "n", "logdet", *_estimate_columns())
+
+
+def _factored(rows: DataFrame, covariance) -> DataFrame:
+    """The columns l00, l10, l11, ... of the Cholesky factor of `covariance(i, j)`."""
     for i in range(_D):
         for j in range(i + 1):
-            spread = factor * F.greatest(F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"), F.lit(0.0)) \
-                if i == j else factor * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-            rest = spread + (RIDGE ** 2 if i == j else 0.0)
+            rest = covariance(i, j)
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             value = F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}")
-            out = out.withColumn(f"l{i}{j}", value)
-    logdet = sum((F.log(F.col(f"l{k}{k}")) for k in range(1, _D)), F.log(F.col("l00")))
-    return out.withColumn("logdet", logdet).select(*keys, "n", "logdet", *_estimate_columns())
+            rows = rows.withColumn(f"l{i}{j}", value)
+    return rows
+
+
+def _shrunk(rows: DataFrame) -> DataFrame:
+    """The estimate of each row drawn towards the wider one beside it (columns w_m0, ...), and own_share.
+
+    The mixture of both: means and covariances by their shares, and what the means differ by.
+    """
+    pairs = [(i, j) for i in range(_D) for j in range(i + 1)]
+    share = F.col("own_share")
+
+    def product(prefix: str, i: int, j: int) -> Column:
+        return sum((F.col(f"{prefix}l{i}{k}") * F.col(f"{prefix}l{j}{k}") for k in range(1, j + 1)),
+                   F.col(f"{prefix}l{i}0") * F.col(f"{prefix}l{j}0"))
+
+    def apart(i: int) -> Column:
+        return F.col(f"m{i}") - F.col(f"w_m{i}")
+
+    mixed = rows.withColumn("own_share", F.col("n_rows") / (F.col("n_rows") + PRIOR_ROWS)).withColumns({
+        f"c{i}{j}": share * product("", i, j) + (1 - share) * product("w_", i, j) + share * (1 - share) * apart(i) * apart(j)
+        for i, j in pairs})
+    mixed = mixed.withColumns({f"m{k}": share * F.col(f"m{k}") + (1 - share) * F.col(f"w_m{k}") for k in range(_D)})
+    return _factored(mixed.drop(*[f"l{i}{j}" for i, j in pairs]), lambda i, j: F.col(f"c{i}{j}"))
 
 
 def _estimate_columns() -> list[str]:
@@ -205,10 +237,10 @@ def mcd_estimates(vectors: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, outlier_distance, kept).
+    """(row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, outlier_distance, own_share, kept).
 
     `row` holds the named columns of the text (all by default), so their names may be anything; outlier_distance is
-    null if the base rules failed. A row picks the estimate of the smallest level with MIN_ROWS rows. Only the bad side
+    null if the base rules failed; own_share is the weight of the group's own rows in its estimate. Only the bad side
     counts in the distance: symbols, repeated lines or repeated windows above the group's mean, fewer distinct words,
     or words of another length.
     """
@@ -228,27 +260,24 @@ def _verdicts(stored: DataFrame) -> DataFrame:
     usable = stored.where(~F.col("base_failed")).select("lang", "source", *STATS)
     estimates = staged(mcd_estimates(usable), "mcd")
     fields = _estimate_columns()
-    large = estimates.where(F.col("n_rows") >= MIN_ROWS)
-
-    def level(k: int, prefix: str) -> DataFrame:
-        return large.where(F.col("key.level") == k).select(
-            F.col("key.lang").alias(f"{prefix}lang"), F.col("key.source").alias(f"{prefix}source"),
-            F.struct(*fields).alias(f"{prefix}e"))
-
-    own, lang = level(0, "a_"), level(1, "b_")
     # The estimate of all rows is one row of a few numbers.
     last = estimates.where(F.col("key.level") == 2).select(*fields).head()
-    whole = F.struct(*[F.lit(None if last is None else last[f]).cast("double").alias(f) for f in fields])
+    whole = [F.lit(None if last is None else last[f]).cast("double").alias(f"w_{f}") for f in fields]
+    langs = _shrunk(estimates.where(F.col("key.level") == 1).select(
+        F.col("key.lang").alias("w_lang"), "n_rows", *fields, *whole)).select(
+            "w_lang", *[F.col(f).alias(f"w_{f}") for f in fields])
+    groups = estimates.where(F.col("key.level") == 0).select(
+        F.col("key.lang").alias("g_lang"), F.col("key.source").alias("g_source"), "n_rows", *fields)
+    own = staged(_shrunk(groups.join(langs, groups["g_lang"].eqNullSafe(langs["w_lang"]))).select(
+        "g_lang", "g_source", "own_share", *[F.col(f).alias(f"_{f}") for f in fields]), "group-estimates")
     judged = (stored
-              .join(own, stored["lang"].eqNullSafe(own["a_lang"]) & stored["source"].eqNullSafe(own["a_source"]), "left")
-              .join(lang, stored["lang"].eqNullSafe(lang["b_lang"]), "left")
-              .withColumn("_e", F.coalesce(F.col("a_e"), F.col("b_e"), whole))
-              .select(*stored.columns, *[F.col(f"_e.{f}").alias(f"_{f}") for f in fields]))
+              .join(own, stored["lang"].eqNullSafe(own["g_lang"]) & stored["source"].eqNullSafe(own["g_source"]), "left")
+              .select(*stored.columns, "own_share", *[f"_{f}" for f in fields]))
     judged = judged.withColumn("_far", distance("_", bad_side_only=True))
     outlier = F.coalesce(F.col("_far") > chi2_quantile(1 - CUTOFF_CHANCE, _D), F.lit(False))
     return judged.select(
         *[c for c in stored.columns if c not in STATS],
-        F.when(~F.col("base_failed"), F.col("_far")).alias("outlier_distance"),
+        F.when(~F.col("base_failed"), F.col("_far")).alias("outlier_distance"), "own_share",
         (~F.col("base_failed") & ~outlier).alias("kept"))
 
 

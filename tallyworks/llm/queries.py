@@ -13,7 +13,7 @@ from tallyworks.llm.staging import fresh_path, staged, table
 def op1_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, d, "documents"), ["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", "kept", "outlier_distance")
+                         "base_failed", "kept", "outlier_distance", "own_share")
 
 
 def op2_chosen_path(spark: SparkSession, d: str) -> DataFrame:

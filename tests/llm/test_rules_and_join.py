@@ -84,6 +84,35 @@ def test_a_small_group_is_judged_by_its_own_estimate(spark):
     assert len([i for i in kept if i >= 1000]) >= 57
 
 
+def test_small_groups_are_drawn_towards_their_language_without_a_jump(spark):
+    """The estimate of a group is the mixture of its own and its language's; no number of rows changes the rule."""
+    for n in (1, 2, 24, 25, 26):
+        rows = [(k, prose(k), "en", "s0") for k in range(200)] + [(1000 + k, prose(500 + k), "en", "s1") for k in range(n)]
+        rows += [(2000, " ".join(w + "###" for w in prose(7).split()), "en", "s1")]
+        judged = {r.row.doc_id: r for r in qr.judge(spark.createDataFrame(
+            rows, "doc_id long, text string, lang string, source string")).collect()}
+        assert abs(judged[1000].own_share - (n + 1) / (n + 1 + qr.PRIOR_ROWS)) < 1e-9
+        assert all(judged[1000 + k].kept for k in range(n))
+        assert judged[2000].kept == (n < 3)  # of two or three texts one cannot be told to be the odd one
+
+
+def test_shrinking_equals_numpy(spark):
+    rng = np.random.default_rng(4)
+    fields, values, parts = qr._estimate_columns(), {"n_rows": 10}, {}
+    for prefix in ("", "w_"):
+        mean, a = rng.normal(size=5), rng.normal(size=(5, 5))
+        cov = a @ a.T + np.eye(5)
+        lower = np.linalg.cholesky(cov)
+        parts[prefix] = (mean, cov)
+        values |= {f"{prefix}{f}": float(mean[int(f[1])] if f[0] == "m" else lower[int(f[1]), int(f[2])]) for f in fields}
+    got = qr._shrunk(spark.createDataFrame([values])).first()
+    share = 10 / (10 + qr.PRIOR_ROWS)
+    (m, c), (wm, wc) = parts[""], parts["w_"]
+    lower = np.linalg.cholesky(share * c + (1 - share) * wc + share * (1 - share) * np.outer(m - wm, m - wm))
+    assert np.allclose([got[f"m{k}"] for k in range(5)], share * m + (1 - share) * wm)
+    assert np.allclose([got[f"l{i}{j}"] for i in range(5) for j in range(i + 1)], [lower[i, j] for i in range(5) for j in range(i + 1)])
+
+
 def test_estimates_equal_numpy_concentration(spark):
     rng = np.random.default_rng(1)
     x = np.round(np.vstack([rng.normal(0, 0.3, (900, 5)) @ (np.eye(5) + 0.3), rng.normal(3, 0.2, (100, 5))]) * 1024) / 1024
