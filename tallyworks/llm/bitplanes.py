@@ -120,8 +120,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, keep_white: bool, end_
             yield pa.RecordBatch.from_pylist([shard.flush()], _CHUNK_ARROW)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # By id and text, so that rows without an id, or of one id, are dealt out as well.
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # By id and a hash of the text, so that rows without an id, or of one id, are dealt out as well; not by the text, of
+    # which the driver would get a sample.
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     # The planes are compressed already.
     ordered.mapInArrow(encode, CHUNK_SCHEMA).write.option("compression", "none").parquet(path)
 
