@@ -42,7 +42,7 @@ def op5_warc_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_mixture_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                        keep_white=True, end_id=0)
+                        keep_white=True, end_id=0, targets=packing.EQUAL)
 
 
 def op7_unigram_counts(spark: SparkSession, d: str) -> DataFrame:

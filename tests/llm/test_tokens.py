@@ -178,3 +178,44 @@ def test_schedule_places_every_token_once():
                         seen.update((k, where + j) for j in range(length))
                     at += size
         assert len(seen) == sum(totals.values()) and set(seen.values()) <= {1}
+
+
+def test_schedule_holds_equal_targets_with_many_sources():
+    """5,000 sources with equal targets: full windows hold 13.1 tokens of each to within two, until one runs out."""
+    rng = random.Random(3)
+    totals = {f"q{k}": rng.randint(200, 2000) for k in range(5000)}
+    window = 1 << 16
+    tiers = packing.schedule(totals, window, dict.fromkeys(totals, 1))
+    full = min(totals.values()) * len(totals) // window
+    for source in rng.sample(sorted(totals), 300):
+        taken = Counter()
+        for k, _, length in packing.Places(tiers, source, window).runs(0, totals[source]):
+            taken[k] += length
+        assert sum(taken.values()) == totals[source]
+        assert all(abs(taken[k] - window / 5000) < 2 for k in range(full))
+
+
+def test_schedule_goes_on_in_proportion_when_a_queue_runs_out():
+    totals, window = {"a": 1000, "b": 4000, "c": 9000, "late": 700}, 100
+    tiers = packing.schedule(totals, window, {"a": 2, "b": 1, "c": 2})
+    taken = defaultdict(Counter)
+    for source, n in totals.items():
+        for k, _, length in packing.Places(tiers, source, window).runs(0, n):
+            taken[k][source] += length
+    assert all(sum(c.values()) == window for c in taken.values())
+    assert all(abs(taken[k]["a"] - 40) < 2 and abs(taken[k]["b"] - 20) < 2 for k in range(25))
+    # Then b and c share the windows one to two, c alone after both, and the source without a target at the end.
+    assert all(abs(taken[k]["b"] - 100 / 3) < 2 and not taken[k]["late"] for k in range(26, 130))
+    assert sorted(k for k in taken if taken[k]["late"]) == list(range(140, 147))
+
+
+def test_small_sources_share_a_queue(spark):
+    """Sources below two tokens a window are packed whole all the same, null and empty ones among them."""
+    ship_package(spark)
+    texts = [(k, edge.words(k, 30)) for k in range(200)]
+    rows = [(i, t, None if i % 50 == 0 else "" if i % 50 == 1 else f"s{i % 150}") for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    for targets in (packing.EQUAL, {"s5": 0.9, "s6": 0.1}, None):
+        pieces = packing.pack(docs, BYTE, True, 0, sequence=32, sequences_per_window=4, targets=targets).collect()
+        assert check_pieces(pieces, texts, 32) <= 1
+        assert len({p.sequence_id for p in pieces}) == -(-sum(p.length for p in pieces) // 32)
