@@ -39,7 +39,8 @@ def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 1024 tokens."""
     ship_package(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_white=True, end_id=0)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_white=True, end_id=0,
+                        targets=packing.EQUAL)
 
 
 STAGES = [
