@@ -380,6 +380,16 @@ SELECT product_id, arg_max(product_title, (year, month, -n, product_title)) AS p
 FROM (SELECT year, month, product_id, product_title, COUNT(review_id) AS n FROM rv WHERE {_IN_MONTHS}
       GROUP BY year, month, product_id, product_title)
 GROUP BY product_id ORDER BY review_count DESC, product_id LIMIT 10""",
+    "most_reviewed_ranges": "\nUNION ALL\n".join(f"""
+SELECT '{start} to {end}' AS months, * FROM (
+  SELECT product_id, arg_max(product_title, (year, month, -n, product_title)) AS product_title,
+         CAST(SUM(n) AS BIGINT) AS review_count
+  FROM (SELECT year, month, product_id, product_title, COUNT(review_id) AS n FROM rv
+        WHERE year * 100 + month BETWEEN {start[:4]}{start[5:7]} AND {end[:4]}{end[5:7]}
+        GROUP BY year, month, product_id, product_title)
+  GROUP BY product_id ORDER BY review_count DESC, product_id LIMIT 10)""" for start, end in (
+        ("1998-03-15", "1999-02-10"), ("1995-01-01", "1995-01-31"), ("1992-01-01", "2001-12-31"),
+        ("1996-11-30", "1997-01-01"), ("1993-06-01", "1993-12-31"))),
     "keyed_month_read": """
 SELECT year, month, product_id, product_title, COUNT(review_id) AS review_count FROM rv
 WHERE year = 1998 AND month = 3 GROUP BY year, month, product_id, product_title""",
@@ -483,6 +493,8 @@ FROM events WHERE event_type IN ('click', 'view', 'purchase') AND user_id % 5 <>
     "wiki_page_creates": _PAGES,
     "stream_page_creates": _PAGES,
     "replay_restamped": "SELECT *, true AS stamped FROM events",
+    "paced_replay": """
+SELECT *, true AS stamped, CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 6000 AS INTEGER) AS batch FROM events""",
 }
 
 ORACLE: dict[str, str] = {

@@ -18,7 +18,7 @@ from tallyworks.operators.keyed import insert_ignore, upsert
 from tallyworks.operators.sampling import bounded_sample
 from tallyworks.operators.surrogates import attach_ids, lookup_dimension
 from tallyworks.plans import cleaning, comparison, event_rollups as er, jobs, lookups, normalise, pages, reports
-from tallyworks.plans import review_rollups as rr
+from tallyworks.plans import review_rollups as rr, running_totals
 from tallyworks.schemas import PAGE_CREATE
 from tallyworks.session import scratch_path
 from tallyworks.sinks.buckets import read_buckets, upsert_buckets
@@ -35,6 +35,7 @@ from tallyworks.streaming.closed_minutes import close_all, read_files, stream_cl
 from tallyworks.streaming.counts import write_counts
 from tallyworks.streaming.lateness import stream_timely_rollup
 from tallyworks.streaming.newest import read_newest, stream_newest
+from tallyworks.streaming.paced import replay_by_rows, write_numbered
 from tallyworks.streaming.pages import read_pages, run_chain, stream_filter, stream_pages
 from tallyworks.streaming.refresh import stream_refresh
 from tallyworks.streaming.replay import replay
@@ -47,6 +48,11 @@ START, END = date(1997, 1, 1), date(1998, 12, 31)
 AS_OF = date(2001, 10, 31)
 MONTH_START, MONTH_END = date(1998, 3, 15), date(1999, 2, 10)
 CAMPAIGN, PLACE = "Brand#7/PROMO", "NATION_3"
+MONTH_RANGES = [
+    (MONTH_START, MONTH_END), (date(1995, 1, 1), date(1995, 1, 31)), (date(1992, 1, 1), date(2001, 12, 31)),
+    (date(1996, 11, 30), date(1997, 1, 1)), (date(1993, 6, 1), date(1993, 12, 31)),
+]
+PACE = 6_000
 PRODUCT, CUSTOMER = "46", "46"
 USER = 46
 SAMPLE_ROWS = 25_000
@@ -300,6 +306,14 @@ def most_reviewed(spark, d):
     return rr.most_reviewed(product_monthly_counts(spark, d), MONTH_START, MONTH_END)
 
 
+def most_reviewed_ranges(spark, d):
+    """The most-reviewed products of five ranges, from stored running totals."""
+    path = _scratch(spark, "totals")
+    totals = running_totals.running_totals(product_monthly_counts(spark, d), "product_id", "product_title")
+    running_totals.write_running_totals(totals, path, "product_id")
+    return running_totals.most_reviewed_in(files.read_table(spark, path), MONTH_RANGES)
+
+
 def most_productive_customers(spark, d):
     return rr.most_productive_customers(customer_verified_monthly(spark, d), MONTH_START, MONTH_END)
 
@@ -518,6 +532,17 @@ def replay_restamped(spark, d):
     return back.withColumn("stamped", F.try_to_timestamp("sent_at").isNotNull()).drop("sent_at")
 
 
+def paced_replay(spark, d):
+    """All web events sent in order of time, 6,000 a tick, and read back: the tick of each, and that it was stamped."""
+    out = _scratch(spark, "paced")
+    events = v.table(spark, d, "events")
+    write_numbered(events, ["ts", "event_id"], f"{out}/numbered")
+    replay_by_rows(spark, f"{out}/numbered", f"{out}/topic", f"{out}/ckpt", "sent_at", PACE, "0 seconds")
+    schema = T.StructType([*events.schema, T.StructField("sent_at", T.StringType())])
+    sent = spark.read.text(f"{out}/topic").select("batch", F.from_json("value", schema).alias("e"))
+    return sent.select("batch", "e.*").withColumn("stamped", F.try_to_timestamp("sent_at").isNotNull()).drop("sent_at")
+
+
 # Stored tables
 
 def keyed_month_read(spark, d):
@@ -777,7 +802,7 @@ QUERIES: dict[str, Query] = {
         product_reviews_rated, customer_reviews, csv_round_trip, secondary_key_read, stream_refreshed_rollup,
         stream_resumed_pages, stream_compacted_pages, incremental_daily_rollup, bucketed_upsert, growing_dictionary,
         late_counter_rows, stream_last_ads, stream_minute_files, stream_write_counts,
-        two_key_read, report_csv_round_trip,
+        two_key_read, report_csv_round_trip, most_reviewed_ranges, paced_replay,
     )
 }
 QUERIES["lookup_dimension"] = lookup_dimension_keys

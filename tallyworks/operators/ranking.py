@@ -12,17 +12,24 @@ from tallyworks.session import enable_checkpoints
 _ROW_BITS = 33
 
 
-def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
+def number_rows(
+    df: DataFrame, order: Sequence[Column | str], name: str = "position", first: int | None = None
+) -> DataFrame:
     """Exact consecutive numbers from 1 in the given total order.
 
     A range-partitioned sort spreads the rows by the whole order, so ties and hot values are split
     between tasks. The sorted rows are checkpointed, which fixes their placement for any retry; then
     one count per sorted partition gives the offset to add. The offsets have one row per shuffle
     partition: that bounds both their broadcast and the running sum over them.
+
+    With `first` only rows that may be among the first so many are stored: no more than that of each partition.
+    Numbers up to `first` are exact; later ones are cut off.
     """
     enable_checkpoints(df.sparkSession)
     slot = F.monotonically_increasing_id()
-    placed = df.orderBy(*order).withColumn("_slot", slot).checkpoint()
+    in_part = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    placed = df.orderBy(*order).withColumn("_slot", slot)
+    placed = (placed if first is None else placed.filter(in_part < first)).checkpoint()
     part = F.shiftright("_slot", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -30,13 +37,13 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "posit
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    in_part = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
+    numbered = (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, (in_part + F.col("_offset") + 1).cast("bigint"))
         .drop("_slot", "_part", "_offset")
     )
+    return numbered if first is None else numbered.filter(F.col(name) <= first)
 
 
 def rank_within(

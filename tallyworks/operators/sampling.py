@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyworks.operators.ranking import number_rows
 
@@ -13,6 +13,7 @@ def bounded_sample(df: DataFrame, n: int = 100_000, order_cols: Sequence[str] =
     """Exactly the first `n` rows by `order_cols` (which should be total), or all rows when there are fewer.
 
     Rows are sorted by ranges and numbered from one count per sorted partition, for every n and column type alike. No
-    task sees more than its range, and partitions beyond the cut give nothing. Nulls come first.
+    task sees more than its range, stores more than n rows of it, and partitions beyond the cut give nothing. Nulls come
+    first.
     """
-    return number_rows(df, order_cols, "_position").filter(F.col("_position") <= n).drop("_position")
+    return number_rows(df, order_cols, "_position", first=n).drop("_position")
