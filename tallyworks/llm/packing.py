@@ -220,8 +220,9 @@ def pack(docs: DataFrame, tokenizer: str, keep_white: bool, end_id: int, sequenc
     ahead = F.coalesce(F.sum("tokens").over(earlier.partitionBy("queue").orderBy("part")), F.lit(0))
     ahead_of_part = per_part.groupBy("part", "queue").agg(F.sum("tokens").alias("tokens")).select(
         "part", "queue", ahead.alias("ahead"))
-    bases = per_part.withColumn("inside", inside).join(ahead_of_part, ["part", "queue"]).select(
-        "part", "source", "queue", (F.col("ahead") + F.col("inside")).alias("base"))
+    # Written first, so that Spark knows its size and chooses the join with the documents by it.
+    bases = staged(per_part.withColumn("inside", inside).join(ahead_of_part, ["part", "queue"]).select(
+        "part", "source", "queue", (F.col("ahead") + F.col("inside")).alias("base")), "bases")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places: dict[str, Places] = {}
