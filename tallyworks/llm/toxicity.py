@@ -209,18 +209,18 @@ class Scorer:
         weight = self.verdict[at].astype(float)
         hit = np.flatnonzero(weight > 0)
         text = np.searchsorted(first, hit, "right") - 1
-        context = np.array([self._context(data, hashes, starts, ends, h, first[t], first[t + 1])
+        context = np.array([self._context(data, hashes, starts, ends, h, first[t], first[t + 1], offsets[t + 1])
                             for h, t in zip(hit.tolist(), text.tolist())])
         return text, hit - first[text], starts[hit], ends[hit], weight[hit] * context
 
-    def _context(self, data, hashes, starts, ends, at: int, low: int, high: int) -> float:
+    def _context(self, data, hashes, starts, ends, at: int, low: int, high: int, stop: int) -> float:
         score = 1.0
         a, b = max(low, at - WINDOW), min(high, at + WINDOW + 1)
         for cue in {int(h) for h in hashes[a:b]} & self.cues.keys():
             score *= self.cues[cue]
         before = data[starts[a]:starts[at]]
         after = data[ends[at]:ends[b - 1]] if b - 1 > at else data[:0]
-        tail = data[ends[b - 1]:ends[b - 1] + 2]
+        tail = data[ends[b - 1]:min(ends[b - 1] + 2, stop)]
         if _QUOTE[before].any() and (_QUOTE[after].any() or _QUOTE[tail].any()):
             score *= 0.3
         elif (before[-3:] == 0xAB).any() or (before[-3:] == 0x9C).any() or (before[-3:] == 0x9E).any():
