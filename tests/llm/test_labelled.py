@@ -100,6 +100,67 @@ def test_passages_cover_whole_texts():
     assert np.diff(begin).tolist() == counts and np.isfinite(x).all()
 
 
+def plain_features(text):
+    """The features of the passages of a text, word by word."""
+    raw = (text or "").encode()
+    found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    words = [raw[a:b] for a, b in found]
+    met = [w in words[:k] for k, w in enumerate(words)]
+    trios = [tuple(words[k:k + 3]) for k in range(len(words) - 2)]
+    trio_met = [t in trios[:k] for k, t in enumerate(trios)] + [False, False]
+    same = [k > 0 and w == words[k - 1] for k, w in enumerate(words)]
+    rows = []
+    for low in range(0, max(1, len(words)), mil.PASSAGE_WORDS):
+        here = range(low, min(low + mil.PASSAGE_WORDS, len(words)))
+        n, some = len(here), max(1, len(here))
+        part = raw[found[here[0]][0]:found[here[-1]][1]] if n else b""
+        sizes = [len(words[k]) for k in here]
+        mean = sum(sizes) / some
+        rows.append([sum(c in kind for c in part) / max(1, len(part)) for kind in mil._KINDS] + [
+            mean / 10, max(0, sum(s * s for s in sizes) / some - mean * mean) ** 0.5 / 10,
+            sum(s <= 3 for s in sizes) / some, sum(s > 20 for s in sizes) / some,
+            sum(met[k] for k in here) / some, sum(trio_met[k] for k in here) / some, sum(same[k] for k in here) / some,
+            np.log1p(n) / 5, np.log1p(len(words)) / 10])
+    return np.array(rows)
+
+
+def plain_score(model, rows):
+    """The forward pass of one document, passage by passage."""
+    w = {k: np.asarray(v, float) for k, v in model.weights.items()}
+    hidden, votes = [], []
+    for row in rows:
+        h = np.tanh(((row - model.mean) / model.scale) @ w["E"] + w["e"])
+        hidden.append(h)
+        votes.append(sum(a * np.tanh(h @ v) / (1 + np.exp(-(h @ u))) for a, v, u in zip(w["w"], w["V"].T, w["U"].T)))
+    share = np.exp(np.array(votes) - max(votes))
+    share /= share.sum()
+    z = sum(a * h for a, h in zip(share, hidden))
+    return 1 / (1 + np.exp(-(z @ w["o"] + w["b"]))), int(np.argmax(share)), share
+
+
+def test_quality_scores_equal_a_plain_forward_pass(spark, corpus):
+    docs, labels = frames(spark, corpus)
+    model = mil.fit(docs, labels)
+    texts = [(k, t) for k, t in edge.TEXTS if len(t or "") < 40_000] + [(100 + k, t) for k, t in corpus[0][:60]]
+    texts += [(200, "##a " * 70 + edge.words(4, 150)), (201, "é" * 30 + "\u00a0x\ty\n" + "1,2. | \"z\"!")]
+    got = sorted(mil.score(edge.documents(spark, texts), model).collect(), key=lambda r: (str(r.doc_id), r.passages, r.score))
+    want = []
+    for k, t in texts:
+        rows = plain_features(t)
+        score, top, share = plain_score(model, rows)
+        want.append((k, len(rows), score, top, share))
+    want.sort(key=lambda r: (str(r[0]), r[1], r[2]))
+    for r, (k, n, score, top, share) in zip(got, want, strict=True):
+        assert (r.doc_id, r.passages) == (k, n) and abs(r.score - score) < 1e-3, (k, r.score, score)
+        assert r.top_passage == top or share[top] - share[r.top_passage] < 1e-4
+
+
+def test_training_takes_evenly_spaced_passages_of_very_long_texts():
+    assert mil._spread(5, 5 + 512).tolist() == list(range(5, 517))
+    many = mil._spread(7, 7 + 5120)
+    assert len(many) == 512 and many.tolist() == list(range(7, 7 + 5120, 10))
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -137,6 +198,41 @@ def test_toxicity_on_held_out_rows_and_misspellings(spark, corpus):
     assert rows[2].score < rows[3].score < rows[4].score
 
 
+def plain_mass(text, model):
+    """Summed hits of an ASCII text by their definition: nearest term, then the context of five words on either side."""
+    found = list(re.finditer(r"[0-9a-z]+(?:[*@$!#+][0-9a-z]+)*", text.lower()))
+    total = 0.0
+    for k, hit in enumerate(found):
+        near = min(((plain_distance(hit.group(), t), t) for t in model.terms), default=(9, ""))
+        if near[0] > toxicity.allowed_edits(near[1]) or (near[0] and hit.group() in model.natural):
+            continue
+        value = model.terms[near[1]] * model.edit_factor ** near[0]
+        window = found[max(0, k - toxicity.WINDOW):k + toxicity.WINDOW + 1]
+        for word in {w.group() for w in window}:
+            value *= 0.5 if word in toxicity.REPORTING else 1.25 if word in toxicity.ADDRESS else 1
+        before = text[window[0].start():hit.start()]
+        after = text[hit.end():window[-1].end() + 2]
+        if any(q in before for q in "\"'`") and any(q in after for q in "\"'`"):
+            value *= 0.3
+        total += value
+    return np.log1p(total)
+
+
+def test_scores_in_context_equal_their_definition(spark):
+    """Quotation, reporting and address around exact and misspelled terms, texts lying side by side in a batch."""
+    ship_package(spark)
+    rng = random.Random(12)
+    model = toxicity.ToxicityModel({"flibbert": 0.9, "grozznakker": 0.8, "wump": 1.0}, {"flibberd"}, 1.7, -2.0)
+    pool = ["flibbert", "Flibbrt", "flibberd", "grozznakker", "grozz*nakkr", "wump", "wumps", "said", "you", "word",
+            "\"", "'", "\"wump\"", "plain", "text", "of", "no", "harm", "x,", "y."]
+    texts = [(k, " ".join(rng.choices(pool, k=rng.randint(1, 25)))) for k in range(400)]
+    texts += [(400, 'he said "wump'), (401, '"'), (402, '" wump'), (403, "'tis so"), (404, "")]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), model).collect()}
+    for k, text in texts:
+        want = 1 / (1 + np.exp(-(1.7 * plain_mass(text, model) - 2.0)))
+        assert abs(got[k] - want) < 1e-5, (text, got[k], want)
+
+
 def test_terms_of_any_length_and_scores_by_their_definition(spark):
     ship_package(spark)
     rng, long_word = random.Random(3), "ы" * 90

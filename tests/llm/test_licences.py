@@ -1,5 +1,6 @@
 """Licence scan against exact counting and a plain search for verified spans."""
 
+import random
 import re
 
 import edge
@@ -73,5 +74,88 @@ def test_a_stray_run_beside_an_exact_notice_does_not_hide_it(spark):
     assert [(spans[k].first_word, spans[k].end_word, spans[k].similarity) for k in (1, 2)] == [(0, 5, 1.0), (3, 8, 1.0)]
 
 
+def plain_levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, old[j] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def plain_spans(words, templates):
+    """Verified spans of one text by the definition: votes, bands, parts, the nearest of a band and of a place."""
+    best = []
+    for name, template in templates.items():
+        size, votes = len(template), {}
+        for p in range(len(words) - ls.K + 1):
+            for t in range(size - ls.K + 1):
+                if words[p:p + ls.K] == template[t:t + ls.K]:
+                    votes.setdefault(p - t, set()).add(t)
+        bands = []
+        for d in sorted(votes):
+            if not bands or d - bands[-1][-1] > ls.MERGE_GAP:
+                bands.append([])
+            bands[-1].append(d)
+        for band in bands:
+            cast = sum(len(votes[d]) for d in band)
+            if cast < max(1, ls.MIN_VOTES * (size - ls.K + 1)):
+                continue
+            parts = {(band[0], band[-1])} | {(a, b) for a in band for b in band if 0 <= b - a <= size}
+            found = []
+            for low, high in parts:
+                begin, end = max(0, low), min(len(words), high + size)
+                a, b = " ".join(words[begin:end]), " ".join(template)
+                longer = max(len(a), len(b))
+                if min(len(a), len(b)) >= ls.MIN_SIMILARITY * longer:
+                    found.append((1 - plain_levenshtein(a, b) / longer, -begin, end))
+            if found and max(found)[0] >= ls.MIN_SIMILARITY:
+                best.append((name, *max(found), cast))
+    nearest = {}
+    for _, similarity, back, _, _ in best:
+        nearest[back] = max(similarity, nearest.get(back, 0))
+    return {(n, -back, end, cast, round(s, 9)) for n, s, back, end, cast in best if s == nearest[back]}
+
+
+def test_spans_equal_a_plain_search(spark):
+    """Edited, repeated and overlapping notices among random words."""
+    rng = random.Random(6)
+    templates = {"one": split("use copy and share this work freely but keep the name of its maker"),
+                 "two": split("use copy and share this work freely but keep the names of all its makers"),
+                 "three": split("no warranty is given")}
+    frame = spark.createDataFrame([(n, n, w, " ".join(w)) for n, w in templates.items()],
+                                  "template string, label string, t_words array<string>, t_text string")
+    texts = []
+    for row in range(120):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            words += edge.words(rng.randrange(99), rng.randint(0, 6)).lower().split()
+            copy = list(rng.choice(list(templates.values())))
+            for _ in range(rng.choice((0, 0, 1, 2, 4))):
+                at = rng.randrange(len(copy))
+                copy[at:at + rng.randint(0, 1)] = rng.choice(([], ["new"], ["work"]))
+            words += copy
+        texts.append((row, " ".join(words)))
+    got = {row: set() for row, _ in texts}
+    for s in ls.find_spans(spark.createDataFrame(texts, "row long, text string"), frame).collect():
+        got[s.row].add((s.template, s.first_word, s.end_word, s.votes, round(s.similarity, 9)))
+    found = {row: plain_spans(split(t), templates) for row, t in texts}
+    assert got == found and sum(map(len, found.values())) > 150
+
+
+def test_labels_and_score_follow_from_spans_and_phrases(spark):
+    docs = edge.documents(spark, TEXTS)
+    spans = {}
+    for s in ls.find_spans(docs.selectExpr("xxhash64(doc_id, text) AS row", "text"), ls.template_table(spark)).collect():
+        spans.setdefault(s.row, []).append(s)
+    keys = {(r.doc_id, r.text): r.row for r in docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS row").collect()}
+    want = []
+    for doc_id, text in TEXTS:
+        own, named = spans.get(keys[doc_id, text], []), base(text)
+        labels = {s.label for s in own} | set(filter(None, named[4].split(",")))
+        want.append((str(doc_id), ",".join(sorted(labels)), 1.0 if named[1] else max((s.similarity for s in own), default=0.0)))
+    assert sorted((str(r.doc_id), r.labels, r.score) for r in ls.scan(docs).collect()) == sorted(want)
+
+
 def test_empty_table(spark):
     assert ls.scan(edge.no_documents(spark)).collect() == []
