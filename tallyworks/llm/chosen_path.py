@@ -10,14 +10,13 @@ threshold) share a chosen token once on average, unlike sets hardly ever, so buc
 
 Small buckets are compared by brute force on the embedded tokens, generously; buckets that stay large at the
 last level (many near copies of one text) are taken whole. That gives candidate groups, whose texts are then compared
-exactly, shingle by shingle. A group of at most `BLOCK` texts is one comparison. A larger one is sorted `ROUNDS` times by
-other tokens, cut into blocks, and each block compared within itself, which joins nearly all near copies of a text;
-then the texts outside the group's largest class so far are compared with all others. So every pair of a group is either
-compared or known to be in one class, no task holds a group, and the texts brought together grow with the size of a group
-times the number of blocks of its texts that no round could join to its largest class.
+exactly, shingle by shingle, each with every other one that can be linked to it. A group of at most `BLOCK` texts is one
+comparison. A larger one is dealt into blocks: by size first, in bands so wide that linked sets lie in one band or in two
+neighbouring ones, then by a hash of the text; each block is compared within itself and with the blocks of its band and of
+the next. So every pair of a group meets in exactly one comparison or is too unequal in size, and no task holds a group.
+The work is that of all pairs: a text of a group of m texts of like size is brought m / BLOCK times.
 
-A class is a set of texts joined by exact links. A full count of links would need all pairs of a group, so n_links counts the
-links seen in one comparison: all of a text's where its group is one block, at least one in every class of several texts.
+A class is a set of texts joined by exact links; n_links counts all links of a text to other texts of its candidate group.
 
 Cases: a null text is empty; empty texts have no shingle and are linked to nothing but equal ones; texts of 1 to 4 words
 are one shingle of all their words; equal texts share a class and count as copies, not links; repeated rows
@@ -31,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyworks.llm.components import components
 from tallyworks.llm.staging import staged
@@ -44,9 +43,10 @@ FOUND_FROM = 0.7  # share of equal tokens from which the target recall holds
 TARGET_RECALL = 0.99
 BUCKET = 96
 DEPTH = 4
-BLOCK = 192
-ROUNDS = 3
-SORT_TOKENS = 4  # tokens that a round sorts by
+BLOCK = 1024  # texts of a block, on average
+BLOCK_SHINGLES = 1 << 20  # and their shingles
+BAND = 1.26  # a band's largest size to its least; above 1 / SIMILARITY, so links reach no further than the next band
+GRID = 1 << 22  # cells of the table of texts and shared shingles that a comparison holds at a time
 SLACK = 3.5  # standard deviations that an estimate may lie below the similarity
 
 _RNG = np.random.default_rng(20240229)
@@ -142,15 +142,22 @@ def _first_paths(texts: DataFrame, runs: int) -> DataFrame:
     return texts.select("key", "tokens").mapInArrow(run, "path long, key string")
 
 
-def _next_paths(rows: DataFrame) -> DataFrame:
+def _deeper_paths(rows: DataFrame) -> DataFrame:
+    """(level, parent, path, key) of all levels below the first, for rows (path, key, tokens) of the first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = batch.column(0).to_numpy().view(np.uint64)
-            at, children = _chosen(paths, _tokens(batch.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(children.view(np.int64)), batch.column(1).take(pa.array(at))], ["path", "key"])
+            paths, owner = batch.column(0).to_numpy().view(np.uint64), np.arange(batch.num_rows)
+            tokens = _tokens(batch.column(2))
+            for level in range(2, DEPTH + 1):
+                at, children = _chosen(paths, tokens[owner])
+                parents, paths, owner = paths[at], children, owner[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), level, np.int32)), pa.array(parents.view(np.int64)),
+                     pa.array(paths.view(np.int64)), batch.column(1).take(pa.array(owner))],
+                    ["level", "parent", "path", "key"])
 
-    return rows.select("path", "key", "tokens").mapInArrow(run, "path long, key string")
+    return rows.select("path", "key", "tokens").mapInArrow(run, "level int, parent long, path long, key string")
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -168,10 +175,10 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: int, most: int | None = None) -> Iterator[pa.Table]:
-    """Runs of equal values of the first `keys` columns, of rows that come sorted by them, cut after `most` rows."""
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of equal values of the first `keys` columns, of rows that come sorted by them."""
     held: list[pa.RecordBatch] = []
-    now, rows = None, 0
+    now = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -184,61 +191,51 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int, most: int | None = No
             name = tuple(c[a].as_py() for c in batch.columns[:keys])
             if name != now and held:
                 yield pa.Table.from_batches(held)
-                held, rows = [], 0
+                held = []
             now = name
-            while a < b:
-                end = b if most is None else min(b, a + most - rows)
-                held.append(batch.slice(a, end - a))
-                rows += end - a
-                a = end
-                if rows == most:
-                    yield pa.Table.from_batches(held)
-                    held, rows = [], 0
+            held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
 
 
 def _near(rows: DataFrame) -> DataFrame:
-    """(a, b): within each small bucket, every text and the first one of its component of likely links."""
+    """(key, root): within each small bucket, every text of a component of likely links and the component's first one."""
     least = SIMILARITY - SLACK * math.sqrt(SIMILARITY * (1 - SIMILARITY) / TOKENS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in _grouped(batches, 1):
             keys = bucket.column(1).combine_chunks()
             tokens = _tokens(bucket.column(2))
-            alike = (tokens[:, None, :] == tokens[None, :, :]).sum(axis=2)
-            root = _roots(alike >= least * TOKENS)
-            at = np.flatnonzero(root != np.arange(len(root)))
+            likely = (tokens[:, None, :] == tokens[None, :, :]).sum(axis=2) >= least * TOKENS
+            np.fill_diagonal(likely, False)
+            at = np.flatnonzero(likely.any(axis=1))
             if len(at):
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), keys.take(pa.array(root[at]))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(at)), keys.take(pa.array(_roots(likely)[at]))], ["key", "root"])
 
     return (rows.select("path", "key", "tokens").repartition("path").sortWithinPartitions("path", "key")
-            .mapInArrow(run, "a string, b string"))
+            .mapInArrow(run, "key string, root string"))
 
 
 def _candidates(texts: DataFrame, runs: int) -> DataFrame:
-    """(a, b): edges that join every text with those it may be linked to."""
+    """(key, root): texts with the same root may be linked; a text has a row for each bucket that holds a likely partner."""
     tokens = texts.select("key", "tokens")
-    rows, edges = _first_paths(texts.where("n > 0"), runs), []
-    for depth in range(1, DEPTH + 1):
-        rows = staged(rows, f"paths-{depth}")
-        sizes = staged(rows.groupBy("path").agg(F.count("*").alias("size"), F.min("key").alias("head"))
-                       .where("size > 1"), f"buckets-{depth}")
-        small = sizes.where(F.col("size") <= BUCKET).select("path")
-        edges.append(_near(rows.join(small, "path").join(tokens, "key")))
-        large = sizes.where(F.col("size") > BUCKET)
-        if depth == DEPTH:
-            # Sets that stay together this long are alike; the exact comparison takes them as one group.
-            edges.append(rows.join(large, "path").where("key != head").select(F.col("key").alias("a"),
-                                                                               F.col("head").alias("b")))
-        elif large.isEmpty():
-            break
-        else:
-            rows = _next_paths(rows.join(large.select("path"), "path").join(tokens, "key"))
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.union(more)
-    return staged(out.distinct(), "candidate-edges")
+    rows = staged(_first_paths(texts.where("n > 0"), runs), "paths")
+    sizes = staged(rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    small, large = sizes.where(F.col("size") <= BUCKET).select("path"), sizes.where(F.col("size") > BUCKET).select("path")
+    if large.isEmpty():
+        return _near(rows.join(small, "path").join(tokens, "key"))
+    deeper = staged(_deeper_paths(rows.join(large, "path").join(tokens, "key")), "deeper-paths")
+    sizes = staged(deeper.groupBy("path").agg(F.count("*").alias("size"), F.min("level").alias("level"),
+                                              F.min("parent").alias("parent")).where("size > 1"), "deeper-buckets")
+    # A bucket is part of its parent; where that was small, it is compared there.
+    split = sizes.where(F.col("size") > BUCKET).select(F.col("path").alias("parent"))
+    sizes = sizes.where("level = 2").unionByName(sizes.where("level > 2").join(split, "parent", "left_semi"))
+    small = small.unionByName(sizes.where(F.col("size") <= BUCKET).select("path"))
+    near = _near(rows.unionByName(deeper.select("path", "key")).join(small, "path").join(tokens, "key"))
+    # Sets that stay together to the last level are alike; the exact comparison takes them as one group, named by the path.
+    last = sizes.where((F.col("size") > BUCKET) & (F.col("level") == DEPTH)).select("path")
+    return near.unionByName(deeper.join(last, "path").select("key", F.hex("path").alias("root")))
 
 
 def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
@@ -255,7 +252,7 @@ def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     out = np.zeros((left or n, n - left), np.float32)
-    width = 8192
+    width = max(1, GRID // n)
     for low in range(0, len(shared), width):
         a, b = np.searchsorted(column, (low, low + width))
         grid = np.zeros((n, min(width, len(shared) - low)), np.float32)
@@ -264,17 +261,6 @@ def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
     return out
 
 
-_FOUND = "key string, root string, links long, partner string, similarity double"
-
-
-def _sets(texts: list[str]) -> list[np.ndarray]:
-    sets: list[np.ndarray] = []
-    for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_string())):
-        gram, begin = shingle_sets(data, offsets)
-        sets += [np.unique(gram[a:b]) for a, b in zip(begin[:-1], begin[1:])]
-    return sets
-
-
 def _similarities(sets: list[np.ndarray], left: int = 0) -> np.ndarray:
     """Jaccard similarities of all sets, or with left > 0 of the first `left` with the others."""
     both = _intersections(sets, left).astype(np.float64)
@@ -282,119 +268,113 @@ def _similarities(sets: list[np.ndarray], left: int = 0) -> np.ndarray:
     return both / np.maximum(size[:left or len(sets), None] + size[None, left:] - both, 1)
 
 
-def _within(work: DataFrame, cut: bool) -> DataFrame:
-    """What a comparison of whole groups, or of blocks of a sorted group, finds of each text that has a link.
-
-    Rows are (group, key, text), sorted by group. The root is the first text of the component; the partner the nearest text.
-    """
+def _shingled(texts: DataFrame) -> DataFrame:
+    """(group, key, size, shingles) of rows (group, key, text): the distinct shingles and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _grouped(batches, 1, BLOCK if cut else None):
-            first = {}
-            for k, key in enumerate(part.column(1).to_pylist()):
-                first.setdefault(key, k)  # rows of repeated ids hold one text twice
-            keys = sorted(first)
-            texts = part.column(2).take(pa.array([first[key] for key in keys])).to_pylist()
-            like = _similarities(_sets(texts))
-            np.fill_diagonal(like, 0)
-            linked = like >= SIMILARITY
-            at = np.flatnonzero(linked.any(axis=1))
-            if len(at):
-                root, best = _roots(linked), like.argmax(axis=1)
+        for batch in batches:
+            for a, b, data, offsets in text_blocks(batch.column(2)):
+                gram, begin = shingle_sets(data, offsets)
+                sets = [np.unique(gram[x:y]) for x, y in zip(begin[:-1], begin[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[k] for k in at]), pa.array([keys[root[k]] for k in at]),
-                     pa.array(linked[at].sum(axis=1).astype(np.int64)), pa.array([keys[best[k]] for k in at]),
-                     pa.array(like[at, best[at]])], ["key", "root", "links", "partner", "similarity"])
+                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array([len(x) for x in sets], pa.int64()),
+                     pa.array([x.tobytes() for x in sets], pa.binary())], ["group", "key", "size", "shingles"])
 
-    return work.select("group", "key", "text").mapInArrow(run, _FOUND)
+    return texts.select("group", "key", "text").mapInArrow(run, "group string, key string, size long, shingles binary")
 
 
-def _across(work: DataFrame) -> DataFrame:
-    """Links between classes: (key, root, ...) as `_within`, where key and root are classes and partner is a text.
+def _dealt(sets: DataFrame) -> DataFrame:
+    """`sets` with its group's blocks: rows (group, whole, low, high, block, key, shingles), one for each comparison of a text.
 
-    Rows are (group, low, high, outside, class, key, text), sorted by the first three: texts outside the largest class against
-    a block of all texts. A linked pair of classes is one row, with its most similar pair of texts.
+    A comparison is of block low with block high, or of one block within itself; whole marks groups of one block.
+    """
+    sets = sets.withColumn("band", F.floor(F.log("size") / math.log(BAND)))
+    group, order = Window.partitionBy("group"), Window.partitionBy("group").orderBy("band")
+    bands = (sets.groupBy("group", "band").agg(F.count("*").alias("n"), F.sum("size").alias("volume"))
+             .withColumn("whole", (F.sum("n").over(group) <= BLOCK) & (F.sum("volume").over(group) <= BLOCK_SHINGLES))
+             .withColumn("slots", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("volume") / BLOCK_SHINGLES)))
+             .withColumn("start", F.sum("slots").over(order) - F.col("slots"))
+             .withColumn("end", F.col("start") + F.col("slots") - 1))
+    bands = bands.select(
+        "group", "band", "whole", "slots", "start",
+        F.when(F.lag("band").over(order) == F.col("band") - 1, F.lag("start").over(order)).otherwise(F.col("start")).alias("from"),
+        F.when(F.lead("band").over(order) == F.col("band") + 1, F.lead("end").over(order)).otherwise(F.col("end")).alias("to"))
+    block = F.when(F.col("whole"), F.lit(0)).otherwise(F.col("start") + F.pmod(F.xxhash64("key"), F.col("slots")))
+    others = F.when(F.col("whole"), F.array(F.lit(0).cast("long"))).otherwise(F.sequence("from", "to"))
+    return (sets.join(bands, ["group", "band"])
+            .select("group", "whole", block.alias("block"), "key", "shingles", F.explode(others).alias("other"))
+            .select("group", "whole", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "block", "key", "shingles"))
+
+
+def _compared(work: DataFrame) -> DataFrame:
+    """What the comparisons of `_dealt` find of each text that has a link: their number, the nearest text and the root.
+
+    The root is the first text of the component within the comparison.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches, 3):
-            outside, classes, keys, texts = (part.column(k).to_pylist() for k in (3, 4, 5, 6))
-            order = sorted({(not o, key): k for k, (o, key) in enumerate(zip(outside, keys))}.items())
-            at = [k for _, k in order]
-            left = sum(outside[k] for k in at)
-            if not 0 < left < len(at):
+            low, high, whole = (part.column(k)[0].as_py() for k in (1, 2, 4))
+            outside = part.column(3).to_numpy() != low
+            names = np.array(part.column(5).to_pylist(), dtype=object)
+            order = np.lexsort((names, outside))
+            names, left = names[order], int((~outside).sum()) if low != high else 0
+            if low != high and left in (0, len(names)):
                 continue
-            like = _similarities(_sets([texts[k] for k in at]), left)
-            found = {}
-            for a, b in np.argwhere(like >= SIMILARITY).tolist():
-                one, other = at[a], at[left + b]
-                if classes[one] != classes[other]:
-                    pair = (classes[one], classes[other])
-                    found[pair] = max(found.get(pair, (0.0, "", "")), (float(like[a, b]), keys[one], keys[other]))
-            for (one, other), (value, key, partner) in found.items():
-                rows = [(key, one, value, partner, other), (partner, other, value, key, one)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[c] for r in rows]) for c in range(5)], ["key", "class", "similarity", "partner", "other"])
+            sets = [np.frombuffer(x, np.uint64) for x in part.column(6).take(pa.array(order)).to_pylist()]
+            like = _similarities(sets, left)
+            if not left:
+                np.fill_diagonal(like, 0)
+            linked = like >= SIMILARITY
+            every = linked
+            if left:
+                every = np.zeros((len(names), len(names)), bool)
+                every[:left, left:] = linked
+                every |= every.T
+            links = every.sum(axis=1)
+            at = np.flatnonzero(links)
+            if not len(at):
+                continue
+            best, value = like.argmax(axis=1), like.max(axis=1)
+            if left:
+                best, value = np.append(best + left, like.argmax(axis=0)), np.append(value, like.max(axis=0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[at]), pa.array(names[_roots(every)[at]]), pa.array(links[at].astype(np.int64)),
+                 pa.array(names[best[at]]), pa.array(value[at]), pa.array(np.full(len(at), whole))],
+                ["key", "root", "links", "partner", "similarity", "whole"])
 
-    return work.select("group", "low", "high", "outside", "class", "key", "text").mapInArrow(
-        run, "key string, class string, similarity double, partner string, other string")
+    work = work.select("group", "low", "high", "block", "whole", "key", "shingles")
+    return (work.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
+            .mapInArrow(run, "key string, root string, links long, partner string, similarity double, whole boolean"))
 
 
 def _contracted(found: DataFrame) -> DataFrame:
-    """(node, root) of the components that the roots of several comparisons give: one edge for each text to its least root,
-    and one for each two roots that met in a text."""
-    least = found.groupBy("key").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots"))
-    least = staged(least, "least-roots")
-    met = least.where(F.size("roots") > 1).select(F.explode("roots").alias("a"), F.col("least").alias("b"))
-    return components(least.select(F.col("key").alias("a"), F.col("least").alias("b"))
-                      .unionByName(met.where("a <> b").distinct()))
-
-
-def _large_groups(bring: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(what was found of each text, (node, root) of the classes) in groups of more than one block."""
-    texts = staged(bring.dropDuplicates(["key"]), "large-groups")
-    found = None
-    for r in range(ROUNDS):
-        places = [(SORT_TOKENS * r + k) * 4 + 1 for k in range(SORT_TOKENS)]
-        order = ["group", *[F.substring("tokens", p, 4) for p in places], "key"]
-        placed = texts.join(tokens, "key").repartitionByRange(*order).sortWithinPartitions(*order)
-        one = _within(placed, cut=True)
-        found = one if found is None else found.unionByName(one)
-    found = staged(found, "blocks-found")
-    classes = _contracted(found)
-
-    member = staged(texts.select("group", "key").join(classes.withColumnRenamed("node", "key"), "key", "left")
-                    .select("group", "key", F.coalesce("root", "key").alias("class")), "large-members")
-    sizes = member.groupBy("group", "class").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("group").agg(F.max(F.struct("n", "class")).alias("main"), F.sum("n").alias("n"))
-    blocks = main.select("group", F.col("main.class").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-                         F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("outer")).where("outer > 0")
-    joined = staged(member.join(blocks, "group").select("group", "key", "class", "blocks", "outer",
-                                                        (F.col("class") != F.col("main")).alias("rest")), "large-rest")
-    if joined.isEmpty():
-        return found, classes
-    spot = F.xxhash64("key")
-    every = joined.withColumn("high", F.pmod(spot, F.col("blocks")).cast("int")).select(
-        "group", "key", "class", F.lit(False).alias("outside"), F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("low"), "high")
-    rest = joined.where("rest").withColumn("low", F.pmod(spot, F.col("outer")).cast("int")).select(
-        "group", "key", "class", F.lit(True).alias("outside"), "low",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("high"))
-    items = every.unionByName(rest).join(texts.select("key", "text"), "key")
-    work = items.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
-    crossed = staged(_across(work), "across-found")
-    bridges = components(crossed.select(F.col("class").alias("a"), F.col("other").alias("b")))
-    moved = (member.join(bridges.select(F.col("node").alias("class"), "root"), "class", "left")
-             .select(F.col("key").alias("node"), F.coalesce("root", "class").alias("root")))
-    more = crossed.select("key", F.col("class").alias("root"), F.lit(1).cast("long").alias("links"), "partner", "similarity")
-    return found.unionByName(more), moved
+    """(node, root) of every key of (key, root): keys that share a root, directly or through other keys, get the same one.
+
+    Only roots that met in a key go through the rounds of `components`.
+    """
+    least = staged(found.groupBy("key").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots")), "least-roots")
+    met = least.where(F.size("roots") > 1).select(F.explode("roots").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    if met.isEmpty():
+        return least.select(F.col("key").alias("node"), F.col("least").alias("root"))
+    roots = components(met).select(F.col("node").alias("least"), "root")
+    return least.join(roots, "least", "left").select(F.col("key").alias("node"), F.coalesce("root", "least").alias("root"))
+
+
+def _large_groups(bring: DataFrame, _tokens: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(what each comparison found of a text, (node, root) of the classes) of groups (group, key, text) of any size."""
+    found = staged(_compared(_dealt(staged(_shingled(bring), "member-sets"))), "links-found")
+    classes, parts = found.where("whole").select(F.col("key").alias("node"), "root"), found.where("not whole")
+    return found, classes if parts.isEmpty() else classes.unionByName(_contracted(parts))
 
 
 def similarity_join(docs: DataFrame, recall: float = TARGET_RECALL) -> DataFrame:
     """(doc_id, class_id, n_copies, n_links, linked_id, similarity) of every row of `docs` (doc_id, text).
 
     A class is a component of links; class_id is its smallest doc_id. n_copies counts the rows with the same text, the row itself
-    included; n_links the links seen in one comparison with other texts; linked_id is the smallest doc_id of the nearest text
-    met, similarity the exact one of the two (both null in classes of one text).
+    included; n_links the links to other texts of its candidate group; linked_id is the smallest doc_id of the nearest one,
+    similarity the exact one of the two (both null in classes of one text).
     """
     return _classes(docs, recall).select("doc_id", "class_id", "n_copies", "n_links", "linked_id", "similarity")
 
@@ -414,22 +394,13 @@ def _classes(docs: DataFrame, recall: float = TARGET_RECALL) -> DataFrame:
         F.first("tokens").alias("tokens")), "texts")
 
     no_id = F.lit(-1).cast("long")  # stands for a null; the text's key decides
-    likely = _candidates(texts, runs_needed(recall)).select(F.col("a").alias("key"), F.col("b").alias("root"))
-    groups = _contracted(likely).withColumnRenamed("root", "group")
-    sizes = groups.groupBy("group").agg((F.count("*") > BLOCK).alias("large"))
-    member = staged(groups.join(sizes, "group").withColumnRenamed("node", "key")
-                    .join(texts.select("key", F.coalesce("first_id", no_id).alias("first_id")), "key"), "members")
+    groups = _contracted(_candidates(texts, runs_needed(recall))).select(F.col("node").alias("key"), F.col("root").alias("group"))
+    member = groups.join(texts.select("key", F.coalesce("first_id", no_id).alias("first_id")), "key")
     # Of equal texts the row with the smallest id brings the text. Members grow with the corpus, so none are broadcast.
     brought = rows.withColumn("first_id", F.coalesce("doc_id", no_id)).join(member.hint("merge"), ["first_id", "key"])
-    bring = staged(brought.select("group", "large", "key", "text"), "member-texts")
-    found = staged(_within(bring.where("not large").repartition("group").sortWithinPartitions("group", "key"), cut=False),
-                   "small-found")
-    rooted = found.select("key", "root")
-    if not member.where("large").isEmpty():
-        more, classes = _large_groups(bring.where("large").select("group", "key", "text"), texts.select("key", "tokens"))
-        found = found.unionByName(more)
-        rooted = rooted.unionByName(classes.select(F.col("node").alias("key"), "root"))
-    near = found.groupBy("key").agg(F.max("links").alias("n_links"),
+    found, classes = _large_groups(brought.dropDuplicates(["first_id", "key"]).select("group", "key", "text"))
+    rooted = classes.withColumnRenamed("node", "key")
+    near = found.groupBy("key").agg(F.sum("links").alias("n_links"),
                                     F.max(F.struct("similarity", "partner")).alias("nearest"))
 
     linked = texts.join(rooted, "key", "left").join(near, "key", "left").select(

@@ -18,9 +18,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
                   .union(known.select("b", "a")).distinct(), "edges")
     labels = staged(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "labels")
     for _ in range(most_rounds):
-        near = (both.join(labels.select(F.col("node").alias("other"), F.col("root").alias("seen")), "other")
-                .groupBy("node").agg(F.min("seen").alias("seen")))
-        lower = labels.join(near, "node").select("node", "root", F.least("root", "seen").alias("low"))
+        near = both.join(labels.select(F.col("node").alias("other"), F.col("root").alias("seen")), "other")
+        own = labels.select("node", F.col("root").alias("seen"), "root")
+        lower = (near.select("node", "seen", F.lit(None).cast(labels.schema["root"].dataType).alias("root")).unionByName(own)
+                 .groupBy("node").agg(F.max("root").alias("root"), F.min("seen").alias("low")))
         jumped = lower.join(labels.select(F.col("node").alias("low"), F.col("root").alias("far")), "low")
         moved = staged(jumped.select("node", "root", F.least("low", "far").alias("next")), "labels")
         labels = moved.select("node", F.col("next").alias("root"))
