@@ -217,25 +217,27 @@ def _near(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "key string, root string"))
 
 
+def _shared(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of buckets of several, with their size. Buckets grow with the corpus, so none are broadcast."""
+    sizes = rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
+    return staged(rows.join(sizes.hint("merge"), "path"), name)
+
+
 def _candidates(texts: DataFrame, runs: int) -> DataFrame:
     """(key, root): texts with the same root may be linked; a text has a row for each bucket that holds a likely partner."""
     tokens = texts.select("key", "tokens")
-    rows = staged(_first_paths(texts.where("n > 0"), runs), "paths")
-    sizes = staged(rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    small, large = sizes.where(F.col("size") <= BUCKET).select("path"), sizes.where(F.col("size") > BUCKET).select("path")
+    rows = _shared(staged(_first_paths(texts.where("n > 0"), runs), "paths"), "shared-paths")
+    small, large = rows.where(F.col("size") <= BUCKET).select("path", "key"), rows.where(F.col("size") > BUCKET)
     if large.isEmpty():
-        return _near(rows.join(small, "path").join(tokens, "key"))
-    deeper = staged(_deeper_paths(rows.join(large, "path").join(tokens, "key")), "deeper-paths")
-    sizes = staged(deeper.groupBy("path").agg(F.count("*").alias("size"), F.min("level").alias("level"),
-                                              F.min("parent").alias("parent")).where("size > 1"), "deeper-buckets")
+        return _near(small.join(tokens, "key"))
+    rows = _shared(staged(_deeper_paths(large.join(tokens, "key")), "deeper-paths"), "deeper-shared-paths")
     # A bucket is part of its parent; where that was small, it is compared there.
-    split = sizes.where(F.col("size") > BUCKET).select(F.col("path").alias("parent"))
-    sizes = sizes.where("level = 2").unionByName(sizes.where("level > 2").join(split, "parent", "left_semi"))
-    small = small.unionByName(sizes.where(F.col("size") <= BUCKET).select("path"))
-    near = _near(rows.unionByName(deeper.select("path", "key")).join(small, "path").join(tokens, "key"))
+    split = rows.where(F.col("size") > BUCKET).select(F.col("path").alias("parent")).distinct()
+    small = small.unionByName(rows.where("level = 2").unionByName(rows.where("level > 2").join(split, "parent", "left_semi"))
+                              .where(F.col("size") <= BUCKET).select("path", "key"))
     # Sets that stay together to the last level are alike; the exact comparison takes them as one group, named by the path.
-    last = sizes.where((F.col("size") > BUCKET) & (F.col("level") == DEPTH)).select("path")
-    return near.unionByName(deeper.join(last, "path").select("key", F.hex("path").alias("root")))
+    last = rows.where((F.col("size") > BUCKET) & (F.col("level") == DEPTH))
+    return _near(small.join(tokens, "key")).unionByName(last.select("key", F.hex("path").alias("root")))
 
 
 def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
