@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.sampling import bounded_sample
 from tallyworks.plans import review_rollups as rr, running_totals as rt
+from tallyworks.streaming import paced
 from tallyworks.streaming.paced import replay_by_rows, write_numbered
 
 
@@ -83,6 +84,51 @@ def test_pace_is_rows_and_a_second_run_sends_nothing(spark, tmp_path):
         assert all(m["at"] != "old" for b in got.values() for m in b)
 
 
+def test_ticks_without_a_pause_share_a_batch_and_keep_their_rows(spark, tmp_path):
+    write_numbered(spark.range(205).select((204 - F.col("id")).alias("k"), F.lit("old").alias("at")), ["k"], str(tmp_path / "n"))
+    topic = str(tmp_path / "topic")
+    replay_by_rows(spark, str(tmp_path / "n"), topic, str(tmp_path / "ckpt"), "at", 5, "0 seconds")
+    got = sent(topic)
+    assert list(got) == [f"batch={b:09d}" for b in range(41)]
+    assert [[m["k"] for m in ticks] for ticks in got.values()] == [list(range(k, k + 5)) for k in range(0, 205, 5)]
+    assert len([name for name in os.listdir(tmp_path / "ckpt" / "offsets") if name.isdigit()]) < 5  # 42 ticks one by one
+
+
+def test_ticks_with_a_pause_are_sent_one_by_one(spark, tmp_path):
+    write_numbered(spark.range(6).select(F.col("id").alias("k"), F.lit("old").alias("at")), ["k"], str(tmp_path / "n"))
+    topic = str(tmp_path / "topic")
+    replay_by_rows(spark, str(tmp_path / "n"), topic, str(tmp_path / "ckpt"), "at", 2, "300 milliseconds")
+    got = sent(topic)
+    assert [[m["k"] for m in got[b]] for b in sorted(got)] == [[0, 1], [2, 3], [4, 5]]
+    assert len({ticks[0]["at"] for ticks in got.values()}) == 3
+
+
+@pytest.mark.parametrize("first_tick,later_pace,later_tick", [
+    ("0 seconds", 10, "0 seconds"), ("0 seconds", 7, "0 seconds"), ("0 seconds", 10, "1 millisecond"), ("1 millisecond", 10, "0 seconds"),
+    ("1 millisecond", 7, "0 seconds")])
+def test_a_stopped_replay_loses_and_repeats_nothing(spark, tmp_path, monkeypatch, first_tick, later_pace, later_tick):
+    monkeypatch.setattr(paced, "TICKS_AT_ONCE", 3)
+    write_numbered(spark.range(101).select(F.col("id").alias("k"), F.lit("old").alias("at")), ["k"], str(tmp_path / "n"))
+    topic, moved, real = str(tmp_path / "topic"), [], paced._send_drafts
+
+    def breaks(*args):
+        real(*args)
+        moved.append(1)
+        if len(moved) == 2:
+            raise RuntimeError("stopped after the ticks were sent, before they were noted")
+
+    monkeypatch.setattr(paced, "_send_drafts", breaks)
+    with pytest.raises(Exception, match="stopped after"):
+        replay_by_rows(spark, str(tmp_path / "n"), topic, str(tmp_path / "ckpt"), "at", 10, first_tick)
+    before = sent(topic)
+    replay_by_rows(spark, str(tmp_path / "n"), topic, str(tmp_path / "ckpt"), "at", later_pace, later_tick)
+    got = sent(topic)
+    assert [m["k"] for ticks in got.values() for m in ticks] == list(range(101))
+    assert list(got) == [f"batch={b:09d}" for b in range(len(got))]
+    assert all([m["k"] for m in got[b]] == [m["k"] for m in before[b]] for b in before)  # begun ticks keep their pace
+    assert all(len(ticks) == later_pace for b, ticks in list(got.items())[len(before):-1])
+
+
 def test_an_empty_table_sends_nothing(spark, tmp_path):
     write_numbered(spark.createDataFrame([], "k long, at string"), ["k"], str(tmp_path / "n"))
     replay_by_rows(spark, str(tmp_path / "n"), str(tmp_path / "topic"), str(tmp_path / "ckpt"), "at", 10, "0 seconds")
