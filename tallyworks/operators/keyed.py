@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _SIDE = "_incoming"
+_LAST = (1 << 63) - 1  # in place of no date; no date is as far back
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -25,6 +26,22 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest_per_key(df, keys, rest or [F.col(c) for c in keys])
 
 
+def one_per_key_sorted(df: DataFrame, keys: Sequence[str], descending: Sequence[str] = ()) -> DataFrame:
+    """`one_per_key` in the global order of `keys`, those of `descending` from high to low with nulls last.
+
+    The rows are shuffled once, ranged by all keys: a busy first key is spread over many tasks, and copies meet in the task
+    that sorts them. A descending date travels as days counted backwards, so that the sort that finds the copies is the
+    final one, too.
+    """
+    dates = [c for c in descending if dict(df.dtypes)[c] == "date"]
+    days = {c: F.coalesce(-F.unix_date(c).cast("bigint"), F.lit(_LAST).cast("bigint")).alias(f"_back_{c}") for c in dates}
+    again = {c: F.date_from_unix_date((-F.col(f"_back_{c}")).try_cast("int")).alias(c) for c in dates}  # of _LAST: null
+    names = [f"_back_{c}" if c in days else c for c in keys]
+    order = [F.desc(c) if c in descending else F.col(c) for c in names]
+    ranged = df.select(*[days.get(c, c) for c in df.columns]).repartitionByRange(*order)
+    return one_per_key(ranged, names).orderBy(*order).select(*[again.get(c, c) for c in df.columns])
+
+
 def insert_ignore(
     target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyworks.functions import measures as m
 from tallyworks.functions.calendar import in_months, month_label
 from tallyworks.functions.serialise import title_prefix
-from tallyworks.operators.keyed import one_per_key
+from tallyworks.operators.keyed import one_per_key, one_per_key_sorted
 from tallyworks.operators.ranking import top_n
 
 PRODUCT_COLUMNS = (
@@ -21,6 +21,7 @@ CUSTOMER_COLUMNS = (
     "customer_id", "review_date", "review_id", "product_id", "product_title", "star_rating",
     "verified_purchase", "marketplace", "review_headline", "review_body",
 )
+PRODUCT_KEY = ("product_id", "star_rating", "review_date", "review_id")
 
 
 def verified() -> Column:
@@ -74,8 +75,7 @@ def monthly_product_reviews(reviews: DataFrame) -> DataFrame:
 
 def product_keyed(reviews: DataFrame) -> DataFrame:
     """The columns kept per product, one row per review of it; copies collapse before they are shuffled."""
-    return one_per_key(
-        reviews.select(*PRODUCT_COLUMNS), ["product_id", "star_rating", "review_date", "review_id"])
+    return one_per_key(reviews.select(*PRODUCT_COLUMNS), PRODUCT_KEY)
 
 
 def customer_keyed(reviews: DataFrame) -> DataFrame:
@@ -92,9 +92,7 @@ def reviews_by_product(
         reviews = reviews.filter(F.col("star_rating") == star_rating)
     if product_id is not None:
         reviews = reviews.filter(F.col("product_id") == product_id)
-    return product_keyed(reviews).orderBy(
-        "product_id", "star_rating", F.desc("review_date"), "review_id"
-    )
+    return one_per_key_sorted(reviews.select(*PRODUCT_COLUMNS), PRODUCT_KEY, ["review_date"])
 
 
 def reviews_by_customer(reviews: DataFrame, customer_id: str | None = None) -> DataFrame:

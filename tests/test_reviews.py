@@ -1,5 +1,6 @@
 """Review rollups and the month-range queries."""
 
+import random
 from datetime import date
 
 import pytest
@@ -92,6 +93,40 @@ def test_copies_of_a_review_are_one_row_of_the_keyed_tables_but_are_counted(revi
     assert dict(rows(rr.customer_stats(doubled)))["u1"] == 6
 
 
+@pytest.fixture(scope="module")
+def odd_reviews(spark):
+    """Copies, rows of one key that differ, nulls in the keys, and dates before 1970 and far ahead."""
+    rng = random.Random(11)
+    dates = [None, date(1, 1, 1), date(1969, 12, 31), date(1970, 1, 1), date(1970, 1, 2), date(2015, 3, 1), date(9999, 12, 31)]
+    kinds = {"star_rating": "int", "helpful_votes": "int", "total_votes": "int", "vine": "int", "verified_purchase": "int",
+             "review_date": "date"}
+    values = {"star_rating": [None, 1, 5], "review_date": dates, "helpful_votes": [None, 0, 1], "total_votes": [3], "vine": [0, 1],
+              "verified_purchase": [0, 1]}
+    some = {c: values.get(c, [None, "a", "b"]) for c in rr.PRODUCT_COLUMNS}
+    data = [tuple(rng.choice(some[c]) for c in rr.PRODUCT_COLUMNS) for _ in range(1_500)]
+    return spark.createDataFrame(data + data[:200], ", ".join(f"{c} {kinds.get(c, 'string')}" for c in rr.PRODUCT_COLUMNS)).repartition(7)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz"])
+def test_keyed_reviews_equal_dropping_copies_and_then_sorting(odd_reviews, kind):
+    df = odd_reviews
+    if kind != "date":  # times of one day are different keys
+        df = df.withColumn("review_date", F.col("review_date").cast(kind) + F.make_dt_interval(hours="vine", mins="total_votes"))
+    newest = F.desc("review_date")
+    by_product = rr.reviews_by_product(df)
+    assert by_product.dtypes == df.dtypes
+    assert rows(by_product) == rows(rr.product_keyed(df).orderBy("product_id", "star_rating", newest, "review_id"))
+    assert 100 < by_product.count() < 1_500
+
+
+def test_wide_reviews_are_shuffled_and_sorted_once(odd_reviews):
+    one_read = odd_reviews.sparkSession.createDataFrame(odd_reviews.collect(), odd_reviews.schema)
+    for df in (rr.reviews_by_product(one_read),):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+        assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning") == plan.count("Sort [") == 1
+
+
 def test_top_product_trend_and_volume(reviews):
     monthly, stats = rr.monthly_product_reviews(reviews), rr.product_stats(reviews)
     assert rows(rr.top_product_trend(stats, monthly)) == [("p1", "2015-01", 2), ("p1", "2015-02", 1)]
