@@ -22,6 +22,7 @@ CUSTOMER_COLUMNS = (
     "verified_purchase", "marketplace", "review_headline", "review_body",
 )
 PRODUCT_KEY = ("product_id", "star_rating", "review_date", "review_id")
+CUSTOMER_KEY = ("customer_id", "review_date", "review_id")
 
 
 def verified() -> Column:
@@ -79,7 +80,7 @@ def product_keyed(reviews: DataFrame) -> DataFrame:
 
 
 def customer_keyed(reviews: DataFrame) -> DataFrame:
-    return one_per_key(reviews.select(*CUSTOMER_COLUMNS), ["customer_id", "review_date", "review_id"])
+    return one_per_key(reviews.select(*CUSTOMER_COLUMNS), CUSTOMER_KEY)
 
 
 def reviews_by_product(
@@ -99,7 +100,7 @@ def reviews_by_customer(reviews: DataFrame, customer_id: str | None = None) -> D
     """Reviews keyed by customer, newest first, then id."""
     if customer_id is not None:
         reviews = reviews.filter(F.col("customer_id") == customer_id)
-    return customer_keyed(reviews).orderBy("customer_id", F.desc("review_date"), "review_id")
+    return one_per_key_sorted(reviews.select(*CUSTOMER_COLUMNS), CUSTOMER_KEY, ["review_date"])
 
 
 def product_monthly_counts(reviews: DataFrame) -> DataFrame:

@@ -113,15 +113,16 @@ def test_keyed_reviews_equal_dropping_copies_and_then_sorting(odd_reviews, kind)
     if kind != "date":  # times of one day are different keys
         df = df.withColumn("review_date", F.col("review_date").cast(kind) + F.make_dt_interval(hours="vine", mins="total_votes"))
     newest = F.desc("review_date")
-    by_product = rr.reviews_by_product(df)
-    assert by_product.dtypes == df.dtypes
+    by_product, by_customer = rr.reviews_by_product(df), rr.reviews_by_customer(df)
+    assert by_product.dtypes == df.dtypes and by_customer.columns == list(rr.CUSTOMER_COLUMNS)
     assert rows(by_product) == rows(rr.product_keyed(df).orderBy("product_id", "star_rating", newest, "review_id"))
+    assert rows(by_customer) == rows(rr.customer_keyed(df).orderBy("customer_id", newest, "review_id"))
     assert 100 < by_product.count() < 1_500
 
 
 def test_wide_reviews_are_shuffled_and_sorted_once(odd_reviews):
     one_read = odd_reviews.sparkSession.createDataFrame(odd_reviews.collect(), odd_reviews.schema)
-    for df in (rr.reviews_by_product(one_read),):
+    for df in (rr.reviews_by_product(one_read), rr.reviews_by_customer(one_read)):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
         assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning") == plan.count("Sort [") == 1
