@@ -245,7 +245,7 @@ def _review_columns() -> dict[str, Column]:
 
 
 def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Cleaned reviews."""
+    """Cleaned reviews. Lines are joined to the orders before the texts of the parts make them wide."""
     computed = _review_columns()
     wanted = columns or tuple(computed)
     lines = table(spark, sf_dir, "lineitem")
